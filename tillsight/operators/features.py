@@ -173,8 +173,8 @@ def label_buyers(sales: DataFrame, snapshots: Sequence[DateLike],
     return (sales.select("customer_name", "sale_date")
             .filter(F.col("customer_name").isNotNull() & (d >= F.lit(lo)) & (d <= F.lit(hi)))
             .select("customer_name",
-                    F.explode(F.filter(arr, lambda w: (d >= w["a"]) & (d <= w["b"])))["s"]
-                    .alias("snapshot_date"))
+                    F.explode(F.filter(arr, lambda w: (d >= w["a"]) & (d <= w["b"]))).alias("_w"))
+            .select(F.col("_w.s").alias("snapshot_date"), "customer_name")
             .distinct())
 
 

@@ -110,8 +110,548 @@ def labels_cte(src: str = "features", name: str = "labeled") -> str:
 )"""
 
 
+
+def dbl(x: float) -> str:
+    """A double literal parsed from its shortest text (exact in both engines)."""
+    return f"cast('{float(x)!r}' as double)"
+
+
+def half_even_div(num: str, den: str, scale: int) -> str:
+    """num / den rounded half-even to ``scale`` decimals, exactly, for decimal(18,4) inputs."""
+    n = f"(cast({num} * 10000 as hugeint) * {10 ** scale})"
+    b = f"cast({den} * 10000 as hugeint)"
+    q = f"({n} // {b})"
+    r = f"({n} % {b})"
+    adj = (f"case when 2 * abs({r}) > abs({b}) or (2 * abs({r}) = abs({b}) and abs({q}) % 2 = 1)"
+           f" then sign({n}) * sign({b}) else 0 end")
+    return (f"case when {b} = 0 then 0.0 else cast({q} + {adj} as double) / {float(10 ** scale)!r} end")
+
+
+def category_case(col: str = "product_code") -> str:
+    prefix = f"regexp_extract(trim({col}), '^(\\p{{L}}+)', 1)"
+    whens = " ".join(f"when '{k}' then '{v}'" for k, v in P.TEST_CATEGORY_MAP.items())
+    return f"coalesce(case {prefix} {whens} end, '{K.DEFAULT_CATEGORY}')"
+
+
+CLEANED = f"""cleaned as (
+  select s.*,
+         cast(year(sale_date) as integer) as year_number,
+         cast(month(sale_date) as integer) as month_number,
+         {category_case()} as category_name,
+         {half_even_div('profit', 'revenue', 4)} as margin_pct,
+         {half_even_div('revenue', 'sales_quantity', 0)} as revenue_per_unit
+  from sales s
+),
+staged as (
+  select *, load_batch_id || '.parquet' as source_file_name from cleaned
+)"""
+
+RELOAD = f"""reload as (
+  select * replace (cast(revenue + 1 as decimal(18,4)) as revenue, 'batch_c' as load_batch_id,
+                    'batch_c.parquet' as source_file_name)
+  from staged where load_batch_id = 'batch_a' and sale_date >= {_d(P.RELOAD_FROM)}
+),
+staged_all as (select * from staged union all select * from reload)"""
+
+
+def _cust_cand(batch: str, name: str, where: str = "") -> str:
+    return f"""{name}_g as (
+  select customer_name, segment_name, min(sale_date) as f, max(sale_date) as l
+  from staged where load_batch_id = '{batch}' {where} and customer_name is not null group by 1, 2
+),
+{name} as (
+  select customer_name, segment_name as current_segment, f, l from (
+    select *, row_number() over (partition by customer_name order by l desc, segment_name desc nulls last) as rn
+    from {name}_g) where rn = 1
+)"""
+
+
+DIMC = f"""{_cust_cand('batch_a', 'cand_a')},
+{_cust_cand('batch_b', 'cand_b')},
+dimc as (
+  select coalesce(a.customer_name, b.customer_name) as customer_name,
+         case when b.customer_name is not null then b.current_segment else a.current_segment end as current_segment,
+         case when a.customer_name is null then b.f when b.customer_name is null then a.f else least(a.f, b.f) end
+           as first_purchase_date,
+         case when a.customer_name is null then b.l when b.customer_name is null then a.l else greatest(a.l, b.l) end
+           as last_purchase_date
+  from cand_a a full outer join cand_b b on a.customer_name = b.customer_name
+)"""
+
+
+def _prod_cand(batch: str, name: str) -> str:
+    return f"""{name} as (
+  select product_code, product_name, unit_name, category_name from (
+    select *, row_number() over (partition by product_code order by n desc, l desc,
+             product_name desc nulls last, unit_name desc nulls last, category_name desc nulls last) as rn
+    from (select product_code, product_name, unit_name, category_name, count(*) as n, max(sale_date) as l
+          from staged where load_batch_id = '{batch}' and product_code is not null group by 1, 2, 3, 4)
+  ) where rn = 1
+)"""
+
+
+DIMP = f"""{_prod_cand('batch_a', 'pcand_a')},
+{_prod_cand('batch_b', 'pcand_b')},
+dimp as (
+  select * from pcand_b
+  union all
+  select * from pcand_a where product_code not in (select product_code from pcand_b)
+)"""
+
+FACT = """fact as (
+  select 'ExcelDataModel' as source_system, s.source_row_id, s.load_batch_id,
+         cast(strftime(s.sale_date, '%Y%m%d') as integer) as date_key, s.customer_name, s.product_code,
+         s.segment_name as segment_at_sale, s.revenue, s.profit, s.promo_pct
+  from staged s
+  join dimc c on c.customer_name = s.customer_name
+  join dimp p on p.product_code = s.product_code
+)"""
+
+UPSERT = f"""src as (
+  select source_row_id, load_batch_id, revenue, profit from staged where load_batch_id = 'batch_b'
+  union all select source_row_id, load_batch_id, revenue, profit from reload
+  union all select source_row_id, load_batch_id, revenue, profit from staged
+            where load_batch_id = 'batch_a' and sale_date >= {_d(P.RELOAD_FROM)}
+),
+src1 as (
+  select source_row_id, load_batch_id, revenue, profit from (
+    select *, row_number() over (partition by source_row_id order by load_batch_id desc) as rn from src)
+  where rn = 1
+),
+upserted as (
+  select * from src1
+  union all
+  select source_row_id, load_batch_id, revenue, profit from staged
+  where load_batch_id = 'batch_a' and source_row_id not in (select source_row_id from src1)
+)"""
+
+
+def pseudo(a: int = 37, b: int = 11) -> str:
+    return P.pseudo_prob_sql().replace("* 37", f"* {a}").replace("* 11", f"* {b}")
+
+
+def _with(*ctes: str) -> str:
+    return "with " + ",\n".join(ctes) + "\n"
+
+
+# ---------------------------------------------------------------- cleaning
+
+def q_clean_sales() -> str:
+    return _with(SALES, CLEANED) + """select source_row_id, product_code, category_name, sale_date, year_number,
+  month_number, cast(revenue as double) as revenue, cast(profit as double) as profit,
+  cast(sales_quantity as double) as sales_quantity, margin_pct, revenue_per_unit from cleaned"""
+
+
+def q_category() -> str:
+    return _with(SALES, CLEANED) + "select product_code, category_name, count(*) as lines from cleaned group by 1, 2"
+
+
+def q_kpis() -> str:
+    return _with(SALES, CLEANED) + """select cast(sum(revenue) as double) as total_revenue,
+  cast(sum(profit) as double) as total_profit,
+  coalesce(cast(sum(profit) as double) / nullif(cast(sum(revenue) as double), 0), 0.0) as margin,
+  count(*) as order_lines, count(distinct customer_name) as customers, count(distinct product_name) as products,
+  coalesce(cast(sum(revenue) as double) / nullif(cast(count(*) as double), 0), 0.0) as aov,
+  count(case when profit < 0 then 1 end) as negative_profit_lines
+from cleaned"""
+
+
+def q_row_hash() -> str:
+    from tillsight.plans.fixtures import HASH_COLUMNS
+    parts = ", ".join(f"coalesce(cast({c} as varchar), '')" for c in HASH_COLUMNS)
+    return _with(SALES) + f"select source_row_id, sha256(concat_ws('|', {parts})) as row_hash from sales"
+
+
+def q_row_changes() -> str:
+    from tillsight.plans.fixtures import CHANGE_COLUMNS
+    same = " and ".join(f"o.{c} is not distinct from n.{c}" for c in CHANGE_COLUMNS)
+    return _with(SALES, CLEANED, f"""old as (select * from staged where load_batch_id = 'batch_a'),
+new as (
+  select * replace (case when sale_date >= {_d(P.RELOAD_FROM)} then cast(revenue + 1 as decimal(18,4))
+                         else revenue end as revenue)
+  from staged where load_batch_id = 'batch_a' and sale_date >= date '1998-03-01'
+  union all select * from staged where load_batch_id = 'batch_b'
+)""") + f"""select coalesce(o.source_row_id, n.source_row_id) as source_row_id,
+  case when o.source_row_id is null then 'new' when n.source_row_id is null then 'gone'
+       when {same} then 'same' else 'changed' end as change_status
+from old o full outer join new n on o.source_row_id = n.source_row_id"""
+
+
+# --------------------------------------------------------------- warehouse
+
+def q_dim_date() -> str:
+    return _with(SALES, CLEANED) + """select cast(strftime(d, '%Y%m%d') as integer) as date_key, d as full_date,
+  cast(day(d) as integer) as day_of_month, cast(month(d) as integer) as month_number,
+  strftime(d, '%B') as month_name, cast(quarter(d) as integer) as quarter_number,
+  cast(year(d) as integer) as year_number, strftime(d, '%Y-%m') as year_month,
+  dayofweek(d) in (0, 6) as is_weekend
+from (select cast(g as date) as d
+      from (select min(sale_date) as a, max(sale_date) as b from staged) r,
+           generate_series(cast(r.a as timestamp), cast(r.b as timestamp), interval 1 day) t(g))"""
+
+
+def q_dim_customer() -> str:
+    return _with(SALES, CLEANED, DIMC) + "select * from dimc"
+
+
+def q_dim_product() -> str:
+    return _with(SALES, CLEANED, DIMP) + "select * from dimp"
+
+
+def q_fact_sales() -> str:
+    return _with(SALES, CLEANED, DIMC, DIMP, FACT) + """select source_system, source_row_id, load_batch_id, date_key,
+  segment_at_sale, cast(revenue as double) as revenue, cast(profit as double) as profit,
+  cast(promo_pct as double) as promo_pct from fact"""
+
+
+def q_upsert() -> str:
+    return _with(SALES, CLEANED, RELOAD, UPSERT) + \
+        "select source_row_id, load_batch_id, cast(revenue as double) as revenue from upserted"
+
+
+def q_unknown_customers() -> str:
+    return _with(SALES, CLEANED, features_ctes([P.TEST_SNAPSHOT])) + f"""select {_d(P.TEST_SNAPSHOT)} as snapshot_date,
+  f.customer_name, {pseudo()} as churn_prob
+from features f
+where not exists (select 1 from staged s where s.customer_name = f.customer_name
+                  and s.load_batch_id = 'batch_a' and s.sale_date >= {_d(P.RELOAD_FROM)})"""
+
+
+def _dup(src: str, keys: str, name: str) -> str:
+    return f"""select '{name}' as check_name, cast(sum(n) as bigint) as row_count, count(*) as distinct_keys,
+  count(case when n > 1 then 1 end) as duplicate_keys
+from (select {keys}, count(*) as n from {src} group by {keys})"""
+
+
+def q_dup_keys() -> str:
+    parts = [
+        _dup("staged", "source_row_id", "staging.source_row_id"),
+        _dup("staged", "customer_name, sale_date, product_code", "staging.customer_day_product"),
+        _dup("dimc", "customer_name", "dim_customer.customer_name"),
+        _dup("dimp", "product_code", "dim_product.product_code"),
+        _dup("fact", "source_system, source_row_id", "fact.source_row"),
+        _dup("features", "snapshot_date, customer_name", "snapshot.snapshot_customer"),
+    ]
+    return _with(SALES, CLEANED, DIMC, DIMP, FACT, features_ctes(P.SNAPSHOTS)) + "\nunion all\n".join(parts)
+
+
+def q_orphans() -> str:
+    return _with(SALES, CLEANED) + """select distinct 'staging.customer_name' as check_name, customer_name as key_value
+from staged where customer_name is not null and customer_name not in
+  (select customer_name from staged where load_batch_id = 'batch_a' and customer_name is not null)
+union all
+select distinct 'staging.product_code', product_code from staged where product_code is not null and product_code not in
+  (select product_code from staged where load_batch_id = 'batch_a' and product_code is not null)"""
+
+
+# ---------------------------------------------------------------- features
+
 def q_customer_snapshot() -> str:
-    return f"with {SALES},\n{features_ctes([P.TEST_SNAPSHOT])}\nselect * from features"
+    return _with(SALES, features_ctes([P.TEST_SNAPSHOT])) + "select * from features"
+
+
+def q_trend_both_windows() -> str:
+    return _with(SALES, features_ctes([P.TEST_SNAPSHOT], trend_mode="both_windows")) + "select * from features"
+
+
+def q_segment_as_of() -> str:
+    return _with(SALES, features_ctes(P.SNAPSHOTS)) + """select snapshot_date, customer_name, segment from (
+  select f.snapshot_date, f.customer_name, x.segment_name as segment,
+         row_number() over (partition by f.snapshot_date, f.customer_name
+                            order by x.sale_date desc, x.source_row_id desc) as rn
+  from features f left join sales x
+    on x.customer_name = f.customer_name and x.sale_date <= f.snapshot_date and x.segment_name is not null
+) where rn = 1"""
+
+
+def q_multi_snapshot() -> str:
+    return _with(SALES, features_ctes(P.ALL_MONTH_ENDS)) + "select * from features"
+
+
+def q_model_input() -> str:
+    return _with(SALES, CLEANED, DIMC, features_ctes(P.SNAPSHOTS), labels_cte()) + \
+        "select l.* from labeled l join dimc c on c.customer_name = l.customer_name"
+
+
+def q_training_set() -> str:
+    return _with(SALES, features_ctes([P.TRAIN_SNAPSHOT, P.TEST_SNAPSHOT]), labels_cte()) + "select * from labeled"
+
+
+# ------------------------------------------------------------------ labels
+
+def q_churn_label() -> str:
+    return _with(SALES, features_ctes(P.SNAPSHOTS), labels_cte()) + \
+        "select snapshot_date, customer_name, churn_label from labeled"
+
+
+def q_retained_semi() -> str:
+    return _with(SALES, features_ctes(P.SNAPSHOTS), labels_cte()) + \
+        "select snapshot_date, customer_name from labeled where churn_label = 0"
+
+
+def q_churned_anti() -> str:
+    return _with(SALES, features_ctes(P.SNAPSHOTS)) + """select f.snapshot_date, f.customer_name from features f
+where f.customer_name not in (
+  select x.customer_name from sales x
+  where x.sale_date between f.snapshot_date + 1 and last_day(f.snapshot_date + 1) and x.customer_name is not null)"""
+
+
+# ------------------------------------------------------------------- rules
+
+def _level(p: str = "churn_prob") -> str:
+    return (f"case when {p} >= {dbl(K.URGENT_THRESHOLD)} then '{K.LEVEL_URGENT}'"
+            f" when {p} >= {dbl(K.HIGH_THRESHOLD)} then '{K.LEVEL_HIGH}'"
+            f" when {p} >= {dbl(K.MEDIUM_THRESHOLD)} then '{K.LEVEL_MEDIUM}' else '{K.LEVEL_LOW}' end")
+
+
+def _action(level: str = "risk_level", seg: str = "segment", rec: str = "recency") -> str:
+    return (f"case when {level} = '{K.LEVEL_URGENT}' and {seg} = '{P.TEST_VIP_SEGMENT}' then '{K.ACTION_VISIT}'"
+            f" when {level} = '{K.LEVEL_URGENT}' or {rec} > 60 then '{K.ACTION_CALL}'"
+            f" when {level} = '{K.LEVEL_HIGH}' or {rec} > 30 then '{K.ACTION_OFFER}'"
+            f" else '{K.ACTION_FOLLOW_UP}' end")
+
+
+def scored_cte(src: str = "features", name: str = "scored") -> str:
+    return f"""{name}_p as (select *, {pseudo()} as churn_prob from {src}),
+{name}_l as (
+  select *, round_even(least(greatest(churn_prob * 10, 1.0), 10.0), 1) as risk_score,
+         {_level()} as risk_level
+  from {name}_p
+),
+{name} as (select *, {_action()} as sales_action from {name}_l)"""
+
+
+def q_risk_rules() -> str:
+    return _with(SALES, features_ctes(P.SNAPSHOTS), scored_cte()) + \
+        "select snapshot_date, customer_name, churn_prob, risk_score, risk_level, sales_action from scored"
+
+
+def q_churn_list() -> str:
+    return _with(SALES, features_ctes([P.FORECAST_SNAPSHOT]), scored_cte()) + """select customer_name, segment, recency,
+  frequency, aov, margin, trend, active_months, risk_score, churn_prob, risk_level, sales_action from scored"""
+
+
+def q_churn_by_segment() -> str:
+    return _with(SALES, features_ctes([P.FORECAST_SNAPSHOT]), scored_cte()) + f"""select segment, count(*) as customers,
+  sum(churn_prob) / count(churn_prob) as mean_churn_prob,
+  count(case when risk_level = '{K.LEVEL_URGENT}' then 1 end) as urgent_customers,
+  count(case when risk_level in ('{K.LEVEL_HIGH}', '{K.LEVEL_URGENT}') then 1 end) as high_or_urgent,
+  cast(sum(recency) as double) / cast(count(recency) as double) as avg_recency,
+  round(sum(aov) / count(aov), 2) as avg_aov,
+  round(sum(margin) / count(margin), 6) as avg_margin
+from scored group by segment"""
+
+
+# ----------------------------------------------------------------- reports
+
+def q_rfm_summary() -> str:
+    return _with(SALES, features_ctes([P.TEST_SNAPSHOT])) + """select segment, count(*) as customers,
+  cast(sum(recency) as double) / cast(count(recency) as double) as avg_recency,
+  cast(sum(frequency) as double) / cast(count(frequency) as double) as avg_frequency,
+  round(sum(aov) / count(aov), 2) as avg_aov,
+  round(sum(margin) / count(margin), 6) as avg_margin,
+  round(sum(promo_rate) / count(promo_rate), 6) as avg_promo_rate
+from features group by segment"""
+
+
+def q_monthly_sales() -> str:
+    return _with(SALES, CLEANED) + """select cast(year(sale_date) as integer) as year_number,
+  cast(month(sale_date) as integer) as month_number, strftime(sale_date, '%Y-%m') as year_month,
+  count(*) as transaction_count, count(distinct customer_name) as customer_count,
+  cast(sum(revenue) as double) as revenue, cast(sum(profit) as double) as profit,
+  cast(sum(profit) as double) / nullif(cast(sum(revenue) as double), 0) as margin
+from staged group by 1, 2, 3"""
+
+
+def q_top_customers() -> str:
+    return _with(SALES, CLEANED, DIMC) + """select s.customer_name, c.current_segment, count(*) as transaction_count,
+  cast(sum(revenue) as double) as revenue, cast(sum(profit) as double) as profit,
+  cast(sum(profit) as double) / nullif(cast(sum(revenue) as double), 0) as margin
+from staged s join dimc c on c.customer_name = s.customer_name
+group by 1, 2 order by sum(revenue) desc, s.customer_name limit 20"""
+
+
+def q_reconciliation() -> str:
+    return _with(SALES, CLEANED, RELOAD, UPSERT) + """select 'staging' as source_name, count(*) as row_count,
+  cast(sum(revenue) as double) as revenue, cast(sum(profit) as double) as profit from staged_all
+union all
+select 'fact', count(*), cast(sum(revenue) as double), cast(sum(profit) as double) from upserted"""
+
+
+def q_load_audit() -> str:
+    return _with(SALES, CLEANED, RELOAD) + """select load_batch_id, source_file_name, count(*) as row_count,
+  cast(sum(revenue) as double) as revenue, min(sale_date) as first_sale_date, max(sale_date) as last_sale_date,
+  'SUCCESS' as status
+from staged_all group by 1, 2"""
+
+
+def q_sales_by_segment() -> str:
+    return _with(SALES, CLEANED) + """select segment_name as segment, count(*) as transaction_count,
+  cast(sum(revenue) as double) as revenue, cast(sum(profit) as double) as profit,
+  cast(sum(profit) as double) / nullif(cast(sum(revenue) as double), 0) as margin
+from cleaned group by 1"""
+
+
+def q_customer_share() -> str:
+    return _with(SALES, CLEANED, DIMC) + """select segment, customers,
+  cast(customers as double) / cast(sum(customers) over () as double) as customer_share
+from (select current_segment as segment, count(*) as customers from dimc group by 1)"""
+
+
+def q_customers_month_segment() -> str:
+    return _with(SALES, CLEANED) + """select strftime(sale_date, '%Y-%m') as year_month, segment_name as segment,
+  count(distinct customer_name) as customers from cleaned group by 1, 2"""
+
+
+PRODUCT_TOTALS = """ptot as (
+  select product_code, count(*) as transaction_count, cast(sum(revenue) as double) as revenue,
+         cast(sum(profit) as double) as profit,
+         coalesce(cast(sum(profit) as double) / nullif(cast(sum(revenue) as double), 0), 0.0) as margin
+  from cleaned group by 1
+)"""
+
+
+def q_top_products_margin() -> str:
+    return _with(SALES, CLEANED, PRODUCT_TOTALS) + "select * from ptot order by margin desc, product_code limit 5"
+
+
+def q_top_products_revenue() -> str:
+    return _with(SALES, CLEANED, PRODUCT_TOTALS) + "select * from ptot order by revenue desc, product_code limit 10"
+
+
+def q_revenue_share() -> str:
+    return _with(SALES, CLEANED) + """select customer_name, segment, cast(rev as double) as revenue,
+  cast(prof as double) as profit,
+  cast(rev as double) / nullif(cast(sum(rev) over (partition by segment) as double), 0) as revenue_share
+from (select customer_name, segment_name as segment, sum(revenue) as rev, sum(profit) as prof
+      from cleaned group by 1, 2)"""
+
+
+def q_revenue_by_category() -> str:
+    return _with(SALES, CLEANED) + """select category_name, count(*) as transaction_count,
+  cast(sum(revenue) as double) as revenue, cast(sum(profit) as double) as profit from cleaned group by 1"""
+
+
+# ----------------------------------------------------------------- metrics
+
+def test_scores_ctes(a: int = 37, b: int = 11, name: str = "sc") -> str:
+    return f"""{name} as (select customer_name, churn_label, {pseudo(a, b)} as churn_prob from labeled),
+{name}_counts as (
+  select churn_prob as threshold, count(case when churn_label = 1 then 1 end) as pos,
+         count(case when churn_label <> 1 then 1 end) as neg
+  from {name} group by 1
+),
+{name}_tot as (select cast(sum(pos) as bigint) as p, cast(sum(neg) as bigint) as n from {name}_counts)"""
+
+
+def _grid() -> str:
+    from tillsight.operators.evaluation import threshold_grid
+    return ", ".join(f"({dbl(x)})" for x in threshold_grid())
+
+
+def sweep_cte() -> str:
+    return f"""grid(threshold) as (values {_grid()}),
+cands as (
+  select threshold, sum(pos) as pos, sum(neg) as neg
+  from (select * from sc_counts union all select threshold, 0, 0 from grid) group by threshold
+),
+cum as (
+  select threshold, cast(sum(pos) over (order by threshold desc) as bigint) as tp,
+         cast(sum(neg) over (order by threshold desc) as bigint) as fp
+  from cands
+),
+sweep as (
+  select c.threshold,
+         coalesce(cast(tp as double) / nullif(cast(tp + fp as double), 0), 0.0) as precision,
+         coalesce(cast(tp as double) / nullif(cast(t.p as double), 0), 0.0) as recall,
+         coalesce(cast(5 * tp as double) / nullif(cast(5 * tp + 4 * (t.p - tp) + fp as double), 0), 0.0) as f2,
+         tp + fp as urgent_count, tp, fp, t.p - tp as fn, t.n - fp as tn
+  from cum c, sc_tot t
+)"""
+
+
+def _metric_base() -> list[str]:
+    return [SALES, features_ctes([P.TEST_SNAPSHOT]), labels_cte()]
+
+
+def q_threshold_sweep() -> str:
+    return _with(*_metric_base(), test_scores_ctes(), sweep_cte()) + "select * from sweep"
+
+
+def q_choose_threshold() -> str:
+    return _with(*_metric_base(), test_scores_ctes(), sweep_cte()) + f"""select threshold, precision, recall, f2,
+  urgent_count, tp, fp, fn, tn, feasible from (
+  select * from (select *, true as feasible, 0 as p from sweep
+                 where recall >= {dbl(K.MIN_RECALL)} and urgent_count <= {K.MAX_URGENT}
+                 order by f2 desc, precision desc, threshold desc limit 1)
+  union all
+  select * from (select *, (recall >= {dbl(K.MIN_RECALL)} and urgent_count <= {K.MAX_URGENT}) as feasible, 1 as p
+                 from sweep order by f2 desc, recall desc, precision desc, threshold asc limit 1)
+) order by p limit 1"""
+
+
+def q_confusion() -> str:
+    t = dbl(K.URGENT_THRESHOLD)
+    return _with(*_metric_base(), test_scores_ctes()) + f"""select {t} as threshold,
+  count(case when churn_prob < {t} and churn_label <> 1 then 1 end) as tn,
+  count(case when churn_prob >= {t} and churn_label <> 1 then 1 end) as fp,
+  count(case when churn_prob < {t} and churn_label = 1 then 1 end) as fn,
+  count(case when churn_prob >= {t} and churn_label = 1 then 1 end) as tp,
+  coalesce(cast(tp as double) / nullif(cast(tp + fp as double), 0), 0.0) as precision,
+  coalesce(cast(tp as double) / nullif(cast(tp + fn as double), 0), 0.0) as recall,
+  coalesce(cast(5 * tp as double) / nullif(cast(5 * tp + 4 * fn + fp as double), 0), 0.0) as f2,
+  cast(sum(churn_label) as double) / cast(count(*) as double) as actual_churn_rate,
+  sum(churn_prob) / cast(count(*) as double) as mean_predicted_prob
+from sc"""
+
+
+def auc_expr(name: str = "sc") -> str:
+    """AUC from per-score counts: pairs won plus half the ties, exact integers, one division."""
+    return f"""(select cast(sum(pos * (2 * neg_below + neg)) as double) / cast(2 * max(t.p) * max(t.n) as double)
+   from (select pos, neg, coalesce(sum(neg) over (order by threshold rows between unbounded preceding
+                                                  and 1 preceding), 0) as neg_below from {name}_counts),
+        {name}_tot t)"""
+
+
+def ap_expr(name: str = "sc") -> str:
+    return f"""(select sum(case when pos > 0 then cast(pos as double) * cast(tp as double) / cast(tp + fp as double) end)
+          / cast(max(t.p) as double)
+   from (select pos, sum(pos) over (order by threshold desc) as tp, sum(neg) over (order by threshold desc) as fp
+         from {name}_counts), {name}_tot t)"""
+
+
+def q_auc() -> str:
+    return _with(*_metric_base(), test_scores_ctes()) + \
+        f"select {auc_expr()} as roc_auc, p as positives, n as negatives from sc_tot"
+
+
+def q_average_precision() -> str:
+    return _with(*_metric_base(), test_scores_ctes()) + \
+        f"select round({ap_expr()}, 12) as average_precision, p as positives from sc_tot"
+
+
+def q_champion() -> str:
+    from tillsight.plans.fixtures import PSEUDO_MODELS
+    t = dbl(K.URGENT_THRESHOLD)
+    ctes, rows = [], []
+    for i, (name, (a, b)) in enumerate(PSEUDO_MODELS.items()):
+        n = f"m{i}"
+        ctes.append(test_scores_ctes(a, b, n))
+        rows.append(f"""select '{name}' as model_name, {auc_expr(n)} as roc_auc, round({ap_expr(n)}, 12) as average_precision,
+  (select coalesce(cast(5 * tp as double) / nullif(cast(5 * tp + 4 * (max_p - tp) + fp as double), 0), 0.0)
+   from (select count(case when churn_prob >= {t} and churn_label = 1 then 1 end) as tp,
+                count(case when churn_prob >= {t} and churn_label <> 1 then 1 end) as fp,
+                count(case when churn_label = 1 then 1 end) as max_p from {n})) as f2,
+  (select coalesce(cast(tp as double) / nullif(cast(tp + fp as double), 0), 0.0)
+   from (select count(case when churn_prob >= {t} and churn_label = 1 then 1 end) as tp,
+                count(case when churn_prob >= {t} and churn_label <> 1 then 1 end) as fp from {n})) as precision""")
+    body = "\nunion all\n".join(rows)
+    return _with(*_metric_base(), *ctes, f"metrics as ({body})") + """select *,
+  cast(row_number() over (order by roc_auc desc, average_precision desc, f2 desc, precision desc, model_name)
+       as integer) as model_rank,
+  row_number() over (order by roc_auc desc, average_precision desc, f2 desc, precision desc, model_name) = 1
+    as is_active
+from metrics"""
 
 
 def build() -> dict[str, str]:

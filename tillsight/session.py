@@ -21,6 +21,7 @@ def build_session(master: str | None = None, app: str = "tillsight",
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
