@@ -12,9 +12,17 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's str.strip() removes (all Unicode whitespace).
+UNICODE_SPACES = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 def trim_unicode(c: Column | str) -> Column:
-    """Strip leading/trailing Unicode whitespace (NBSP, tabs, ...), like str.strip."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Strip leading/trailing Unicode whitespace (NBSP, tabs, ...), like str.strip.
+
+    ``btrim`` with an explicit character set is a plain codegen'd scan;
+    a Unicode-aware regex costs several times more per row.
+    """
+    return F.btrim(col(c), F.lit(UNICODE_SPACES))
 
 
 def coerce_number(c: Column | str, dtype: str = "decimal(18,4)") -> Column:

@@ -20,7 +20,7 @@ NUMERIC_COLUMNS = ("import_amount", "promo_quantity", "sales_quantity", "export_
 def map_lookup(key: Column, mapping: Mapping[str, str], default: str | None) -> Column:
     """Look ``key`` up in a literal map (no join, stays in codegen)."""
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    hit = F.when(key.isNull(), F.lit(None).cast("string")).otherwise(F.try_element_at(m, key))
+    hit = F.try_element_at(m, key)   # null key or missing key -> null
     return hit if default is None else F.coalesce(hit, F.lit(default))
 
 

@@ -19,6 +19,7 @@ from tillsight.operators import features as FE
 from tillsight.operators import warehouse as WH
 from tillsight.operators.rules import Thresholds, apply_rules
 from tillsight.plans import params as P
+from tillsight.session import materialize
 from tillsight.sources.sales import sales_from_tables
 
 HASH_COLUMNS = ("source_row_id", "product_code", "product_name", "unit_name", "customer_name",
@@ -39,6 +40,11 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.withColumn("source_file_name", F.concat(F.col("load_batch_id"), F.lit(".parquet")))
 
 
+def staged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging rows written once (they feed every dimension and the fact)."""
+    return materialize(staged(spark, sf_dir))
+
+
 def reload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = staged(spark, sf_dir)
     return (st.filter((F.col("load_batch_id") == "batch_a") & (F.col("sale_date") >= F.lit(P.RELOAD_FROM)))
@@ -63,10 +69,10 @@ def versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dim_customer(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
     """Customer dimension loaded batch by batch: batch_a, then batch_b merged in."""
-    st = staged(spark, sf_dir)
-    d = WH.merge_dim_customer(None, WH.customer_candidates(st, "batch_a"))
+    st = staged_table(spark, sf_dir) if st is None else st
+    d = materialize(WH.merge_dim_customer(None, WH.customer_candidates(st, "batch_a")))
     return WH.merge_dim_customer(d, WH.customer_candidates(st, "batch_b"))
 
 
@@ -76,20 +82,21 @@ def dim_customer_june(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WH.merge_dim_customer(None, WH.customer_candidates(st, "batch_a"))
 
 
-def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = staged(spark, sf_dir)
-    d = WH.merge_dim_product(None, WH.product_candidates(st, "batch_a"))
+def dim_product(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
+    st = staged_table(spark, sf_dir) if st is None else st
+    d = materialize(WH.merge_dim_product(None, WH.product_candidates(st, "batch_a")))
     return WH.merge_dim_product(d, WH.product_candidates(st, "batch_b"))
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return WH.fact_rows(staged(spark, sf_dir), dim_customer(spark, sf_dir), dim_product(spark, sf_dir))
+def fact(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
+    st = staged_table(spark, sf_dir) if st is None else st
+    return WH.fact_rows(st, dim_customer(spark, sf_dir, st), dim_product(spark, sf_dir, st))
 
 
 def upserted_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact of batch_a, then batch_b + batch_c + the original June rows upserted (newest batch wins)."""
-    st = staged(spark, sf_dir)
-    dc, dp = dim_customer(spark, sf_dir), dim_product(spark, sf_dir)
+    st = staged_table(spark, sf_dir)
+    dc, dp = dim_customer(spark, sf_dir, st), dim_product(spark, sf_dir, st)
     target = WH.fact_rows(st, dc, dp, "batch_a")
     june_again = st.filter((F.col("load_batch_id") == "batch_a")
                            & (F.col("sale_date") >= F.lit(P.RELOAD_FROM)))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "tillsight",
@@ -55,3 +56,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage: write ``df`` once as Parquet under the shared checkpoint folder, read it back.
+
+    Used where one intermediate feeds several later steps (staging rows,
+    a dimension version), like a written table between pipeline stages.
+    The folder comes from ``spark.checkpoint.dir`` (shared storage on a
+    cluster), so the table survives executor loss; a columnar write is
+    much cheaper than an RDD checkpoint, which recomputes the plan and
+    serialises rows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
