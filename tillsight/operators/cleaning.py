@@ -53,16 +53,16 @@ def clean_sales(raw: DataFrame, category_map: Mapping[str, str] = K.CATEGORY_MAP
             c = trim_unicode(c)
         cols.append(c.alias(f.name))
     df = df.select(*cols)
-    year = F.year("sale_date")
-    month = F.month("sale_date")
-    if "year_number" in df.columns:
-        year = F.coalesce(F.col("year_number").cast("int"), year)
-    if "month_number" in df.columns:
-        month = F.coalesce(F.col("month_number").cast("int"), month)
+    if "sale_date" in df.columns:
+        year = F.year("sale_date")
+        month = F.month("sale_date")
+        if "year_number" in df.columns:
+            year = F.coalesce(F.col("year_number").cast("int"), year)
+        if "month_number" in df.columns:
+            month = F.coalesce(F.col("month_number").cast("int"), month)
+        df = df.withColumn("year_number", year).withColumn("month_number", month)
     rev, qty = F.col("revenue"), F.col("sales_quantity")
-    return (df.withColumn("year_number", year)
-              .withColumn("month_number", month)
-              .withColumn("category_name", category_of("product_code", category_map, default_category))
+    return (df.withColumn("category_name", category_of("product_code", category_map, default_category))
               .withColumn("margin_pct", F.coalesce(
                   F.bround(F.try_divide(F.col("profit"), rev), 4).cast("double"), F.lit(0.0)))
               .withColumn("revenue_per_unit", F.coalesce(
