@@ -48,16 +48,63 @@ def default_label_window(snapshot: DateLike) -> tuple[dt.date, dt.date]:
     return start, nxt - dt.timedelta(days=1)
 
 
+# Largest (snapshot, day) calendar table that is broadcast; beyond it the
+# join is left to AQE (shuffle join on the sale date).
+MAX_BROADCAST_DAYS = 2_000_000
+
+
+def snapshot_days(spark, windows: Sequence[tuple]) -> DataFrame:
+    """One row per (snapshot_date, _day) for ``_day`` in each snapshot's [first, last] window.
+
+    The size is the sum of window lengths: fixed by the parameters, never
+    by the data.
+    """
+    base = spark.createDataFrame([(s, a, b) for s, a, b in windows],
+                                 "snapshot_date date, _a date, _b date")
+    return base.select("snapshot_date", F.explode(F.sequence("_a", "_b")).alias("_day"))
+
+
+def _join_days(sales: DataFrame, windows: Sequence[tuple]) -> DataFrame:
+    """Sales joined to every window holding their date (equi-join on the day)."""
+    n_days = sum((b - a).days + 1 for _, a, b in windows)
+    days = snapshot_days(sales.sparkSession, windows)
+    if n_days <= MAX_BROADCAST_DAYS:
+        days = F.broadcast(days)
+    lo, hi = min(a for _, a, _ in windows), max(b for _, _, b in windows)
+    d = F.col("sale_date")
+    return (sales.filter((d >= F.lit(lo)) & (d <= F.lit(hi)))
+            .join(days, d == F.col("_day")).drop("_day"))
+
+
 def explode_to_snapshots(sales: DataFrame, snapshots: Sequence[DateLike],
                          lookback: int = K.LOOKBACK_DAYS) -> DataFrame:
-    """One row per (sale, snapshot whose lookback window holds the sale)."""
+    """One row per (sale, snapshot whose lookback window holds the sale).
+
+    A range condition ``s - L < d <= s`` becomes an equi-join on the sale
+    date against the (snapshot, day) calendar: whole-stage codegen, no
+    per-row loop over the snapshot list, and a filter on the date range
+    that reaches the Parquet scan.
+    """
     snaps = sorted({_as_date(s) for s in snapshots})
-    lo = snaps[0] - dt.timedelta(days=lookback)
-    d = F.col("sale_date")
-    hits = F.filter(_date_array(snaps), lambda s: (s >= d) & (s < F.date_add(d, lookback)))
-    return (sales
-            .filter((d > F.lit(lo)) & (d <= F.lit(snaps[-1])))
-            .withColumn("snapshot_date", F.explode(hits)))
+    wins = [(s, s - dt.timedelta(days=lookback - 1), s) for s in snaps]
+    return _join_days(sales, wins)
+
+
+def active_months(d: Column, s: Column, lookback: int) -> Column:
+    """Distinct calendar months with a sale in the lookback window (exact).
+
+    Months are counted as bits of a long: a sale sets the bit of its month
+    offset from the snapshot month (0 .. lookback/28 + 1), ``bit_or``
+    merges map-side and ``bit_count`` reads the result. This keeps the
+    whole feature aggregate to one partial aggregation and one exchange; a
+    ``count_distinct`` would add a second shuffle on (key, month). Longer
+    lookbacks than 63 months fall back to ``count_distinct``.
+    """
+    if lookback // 28 + 2 > 63:
+        return F.count_distinct(F.year(d) * 100 + F.month(d))
+    offset = (F.year(s) * 12 + F.month(s)) - (F.year(d) * 12 + F.month(d))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), offset.cast("int"))
+    return F.bit_count(F.bit_or(bit)).cast("long")
 
 
 def customer_features(sales: DataFrame, snapshots: Sequence[DateLike],
@@ -96,7 +143,7 @@ def customer_features(sales: DataFrame, snapshots: Sequence[DateLike],
         F.sum(F.when(older, F.col("revenue")).otherwise(zero)).alias("_older"),
         F.count_if(recent).alias("_n_recent"),
         F.count_if(older).alias("_n_older"),
-        F.count_distinct(F.year(d) * 100 + F.month(d)).alias("active_months"),
+        active_months(d, s, lookback).alias("active_months"),
         F.max_by("segment_name", F.struct(d, F.col("source_row_id"))).alias("segment"),
     )
     trend = (F.col("_recent") - F.col("_older")).cast("double")
@@ -166,16 +213,9 @@ def label_buyers(sales: DataFrame, snapshots: Sequence[DateLike],
                  windows: Mapping[DateLike, tuple[DateLike, DateLike]] | None = None) -> DataFrame:
     """Distinct (snapshot_date, customer_name) that bought inside the label window."""
     wins = _label_windows(snapshots, windows)
-    arr = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(a).alias("a"), F.lit(b).alias("b"))
-                    for s, a, b in wins])
-    d = F.col("sale_date")
-    lo, hi = min(a for _, a, _ in wins), max(b for _, _, b in wins)
-    return (sales.select("customer_name", "sale_date")
-            .filter(F.col("customer_name").isNotNull() & (d >= F.lit(lo)) & (d <= F.lit(hi)))
-            .select("customer_name",
-                    F.explode(F.filter(arr, lambda w: (d >= w["a"]) & (d <= w["b"]))).alias("_w"))
-            .select(F.col("_w.s").alias("snapshot_date"), "customer_name")
-            .distinct())
+    x = _join_days(sales.select("customer_name", "sale_date")
+                   .filter(F.col("customer_name").isNotNull()), wins)
+    return x.select("snapshot_date", "customer_name").distinct()
 
 
 def with_churn_label(features: DataFrame, sales: DataFrame, snapshots: Sequence[DateLike],
