@@ -53,6 +53,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A file with a single row group is one scan task, and everything fused
+    into that stage (joins against broadcast sides, projections) runs on
+    one core. Large inputs have many splits and are left alone, so this
+    never adds a shuffle of a big table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _dec(c: Column | str, p: int, s: int) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(T.DecimalType(p, s))
 
@@ -71,9 +83,9 @@ def sales_from_tables(spark: SparkSession, sf_dir: str, batch_cut: str = "1998-0
     their keys, and AQE turns any side that is small at run time into a
     broadcast (size checked by ``spark.sql.adaptive.autoBroadcastJoinThreshold``).
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"))
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
