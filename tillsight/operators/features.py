@@ -26,10 +26,6 @@ def _as_date(d: DateLike) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
 
-def _date_array(dates: Iterable[DateLike]) -> Column:
-    return F.array(*[F.lit(_as_date(d)) for d in sorted({_as_date(x) for x in dates})])
-
-
 def month_ends(first: DateLike, last: DateLike) -> list[dt.date]:
     """Every month end from the month of ``first`` to the month of ``last``."""
     a, b = _as_date(first), _as_date(last)
@@ -178,12 +174,17 @@ def segment_as_of(sales: DataFrame, keys: DataFrame, snapshots: Sequence[DateLik
     (one row per snapshot) and its dates must be among ``snapshots``.
     """
     snaps = sorted({_as_date(x) for x in snapshots})
-    arr = _date_array(snaps)
     d = F.col("sale_date")
-    bucketed = (sales
-                .filter(F.col("segment_name").isNotNull() & F.col("customer_name").isNotNull()
-                        & (d <= F.lit(max(snaps))))
-                .withColumn("bucket", F.element_at(F.filter(arr, lambda s: s >= d), 1))
+    base = (sales.select("customer_name", "sale_date", "segment_name", "source_row_id")
+            .filter(F.col("segment_name").isNotNull() & F.col("customer_name").isNotNull()
+                    & (d <= F.lit(snaps[-1]))))
+    # bucket = first snapshot on or after the sale: everything up to the first
+    # snapshot goes to it, later days through the bounded (snapshot, day) calendar
+    early = base.filter(d <= F.lit(snaps[0])).withColumn("snapshot_date", F.lit(snaps[0]))
+    wins = [(s, p + dt.timedelta(days=1), s) for p, s in zip(snaps, snaps[1:])]
+    later = _join_days(base.filter(d > F.lit(snaps[0])), wins) if wins else None
+    both = early if later is None else early.unionByName(later)
+    bucketed = (both.withColumnRenamed("snapshot_date", "bucket")
                 .groupBy("customer_name", "bucket")
                 .agg(F.max_by("segment_name", F.struct(d, F.col("source_row_id"))).alias("segment"))
                 .withColumn("_is_key", F.lit(0)))

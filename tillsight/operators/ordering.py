@@ -29,8 +29,9 @@ def desc_bucket(key: Column, bounds: Sequence[float]) -> Column:
     """Bucket index such that a larger key never lands in a later bucket."""
     if not bounds:
         return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b > key))
+    # number of cut points above the key; plain comparisons stay in codegen
+    terms = [(F.lit(float(b)) > key).cast("int") for b in bounds]
+    return sum(terms[1:], terms[0])
 
 
 def running_sums(df: DataFrame, bucket: Column, order: Sequence[Column],
