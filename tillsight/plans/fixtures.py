@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,6 @@ from tillsight.operators import features as FE
 from tillsight.operators import warehouse as WH
 from tillsight.operators.rules import Thresholds, apply_rules
 from tillsight.plans import params as P
-from tillsight.session import materialize
 from tillsight.sources.sales import sales_from_tables
 
 HASH_COLUMNS = ("source_row_id", "product_code", "product_name", "unit_name", "customer_name",
@@ -41,12 +41,16 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging rows written once (they feed every dimension and the fact)."""
-    return materialize(staged(spark, sf_dir))
+    """Staging rows computed once per query (they feed every dimension and the fact).
+
+    Kept with ``persist``: a lost executor recomputes its blocks from the
+    source tables. The warehouse pipeline writes staging as a table instead.
+    """
+    return staged(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def reload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = staged(spark, sf_dir)
+    st = staged_table(spark, sf_dir)
     return (st.filter((F.col("load_batch_id") == "batch_a") & (F.col("sale_date") >= F.lit(P.RELOAD_FROM)))
               .withColumn("revenue", (F.col("revenue") + 1).cast("decimal(18,4)"))
               .withColumn("load_batch_id", F.lit("batch_c"))
@@ -54,7 +58,7 @@ def reload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_with_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(spark, sf_dir).unionByName(reload_rows(spark, sf_dir))
+    return staged_table(spark, sf_dir).unionByName(reload_rows(spark, sf_dir))
 
 
 def versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -72,7 +76,7 @@ def versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def dim_customer(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
     """Customer dimension loaded batch by batch: batch_a, then batch_b merged in."""
     st = staged_table(spark, sf_dir) if st is None else st
-    d = materialize(WH.merge_dim_customer(None, WH.customer_candidates(st, "batch_a")))
+    d = WH.merge_dim_customer(None, WH.customer_candidates(st, "batch_a")).persist(StorageLevel.MEMORY_AND_DISK)
     return WH.merge_dim_customer(d, WH.customer_candidates(st, "batch_b"))
 
 
@@ -84,13 +88,16 @@ def dim_customer_june(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_product(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
     st = staged_table(spark, sf_dir) if st is None else st
-    d = materialize(WH.merge_dim_product(None, WH.product_candidates(st, "batch_a")))
+    d = WH.merge_dim_product(None, WH.product_candidates(st, "batch_a")).persist(StorageLevel.MEMORY_AND_DISK)
     return WH.merge_dim_product(d, WH.product_candidates(st, "batch_b"))
 
 
-def fact(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
+def fact(spark: SparkSession, sf_dir: str, st: DataFrame | None = None,
+         dc: DataFrame | None = None, dp: DataFrame | None = None) -> DataFrame:
     st = staged_table(spark, sf_dir) if st is None else st
-    return WH.fact_rows(st, dim_customer(spark, sf_dir, st), dim_product(spark, sf_dir, st))
+    dc = dim_customer(spark, sf_dir, st) if dc is None else dc
+    dp = dim_product(spark, sf_dir, st) if dp is None else dp
+    return WH.fact_rows(st, dc, dp)
 
 
 def upserted_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,12 +87,14 @@ def q_unknown_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = FX.staged_table(spark, sf_dir)
     feats = FE.customer_features(st, P.SNAPSHOTS, P.LOOKBACK)
+    dc, dp = FX.dim_customer(spark, sf_dir, st), FX.dim_product(spark, sf_dir, st)
     parts = [
         WH.duplicate_keys(st, ["source_row_id"], "staging.source_row_id"),
         WH.duplicate_keys(st, ["customer_name", "sale_date", "product_code"], "staging.customer_day_product"),
-        WH.duplicate_keys(FX.dim_customer(spark, sf_dir, st), ["customer_name"], "dim_customer.customer_name"),
-        WH.duplicate_keys(FX.dim_product(spark, sf_dir, st), ["product_code"], "dim_product.product_code"),
-        WH.duplicate_keys(FX.fact(spark, sf_dir, st), ["source_system", "source_row_id"], "fact.source_row"),
+        WH.duplicate_keys(dc, ["customer_name"], "dim_customer.customer_name"),
+        WH.duplicate_keys(dp, ["product_code"], "dim_product.product_code"),
+        WH.duplicate_keys(FX.fact(spark, sf_dir, st, dc, dp), ["source_system", "source_row_id"],
+                          "fact.source_row"),
         WH.duplicate_keys(feats, ["snapshot_date", "customer_name"], "snapshot.snapshot_customer"),
     ]
     out = parts[0]
@@ -194,7 +196,8 @@ def q_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = FX.staged_table(spark, sf_dir)
-    return RP.top_customers(FX.fact(spark, sf_dir, st), FX.dim_customer(spark, sf_dir, st), 20)
+    dc = FX.dim_customer(spark, sf_dir, st)
+    return RP.top_customers(FX.fact(spark, sf_dir, st, dc), dc, 20)
 
 
 def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
