@@ -48,13 +48,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     setting must point at shared storage so lineage cuts survive executor
     loss.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
         return current
     local = tempfile.mkdtemp(prefix="tillsight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # noqa: BLE001 - core settings may be read-only at run time
+        pass
     return local
 
 
