@@ -123,7 +123,7 @@ def column_profile(sales: DataFrame) -> DataFrame:
     return sales.agg(
         F.count_distinct("category_name").alias("categories"),
         F.count_distinct("month_number").alias("months"),
-        F.avg("margin_pct").alias("avg_margin_pct"),
+        F.round(F.avg("margin_pct"), 8).alias("avg_margin_pct"),
         F.min("sale_date").alias("first_sale_date"),
         F.max("sale_date").alias("last_sale_date"),
     )

@@ -25,6 +25,8 @@ from tillsight.sources.sales import sales_from_tables
 HASH_COLUMNS = ("source_row_id", "product_code", "product_name", "unit_name", "customer_name",
                 "segment_name", "sale_date")
 CHANGE_COLUMNS = HASH_COLUMNS + ("revenue", "profit", "sales_quantity")
+# Columns the staging contract declares NOT NULL.
+NOT_NULL_COLUMNS = ("source_row_id", "product_code", "revenue", "sale_date", "customer_name", "profit")
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:

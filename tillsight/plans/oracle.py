@@ -478,6 +478,28 @@ union all
 select 'fact', count(*), cast(sum(revenue) as double), cast(sum(profit) as double) from upserted"""
 
 
+def q_reconciliation_by_batch() -> str:
+    return _with(SALES, CLEANED, RELOAD, UPSERT) + """select coalesce(s.load_batch_id, f.load_batch_id) as load_batch_id,
+  coalesce(s.n, 0) as staged_rows, coalesce(f.n, 0) as fact_rows,
+  coalesce(s.n, 0) - coalesce(f.n, 0) as row_difference,
+  cast(coalesce(s.r, 0) - coalesce(f.r, 0) as double) as revenue_difference
+from (select load_batch_id, count(*) as n, sum(revenue) as r from staged_all group by 1) s
+full outer join (select load_batch_id, count(*) as n, sum(revenue) as r from upserted group by 1) f
+  on s.load_batch_id = f.load_batch_id"""
+
+
+def q_null_counts() -> str:
+    from tillsight.plans.fixtures import NOT_NULL_COLUMNS
+    cols = ",\n  ".join(f"count(case when {c} is null then 1 end) as null_{c}" for c in NOT_NULL_COLUMNS)
+    return _with(SALES, CLEANED) + f"select {cols}\nfrom staged"
+
+
+def q_column_profile() -> str:
+    return _with(SALES, CLEANED) + """select count(distinct category_name) as categories,
+  count(distinct month_number) as months, round(avg(margin_pct), 8) as avg_margin_pct,
+  min(sale_date) as first_sale_date, max(sale_date) as last_sale_date from cleaned"""
+
+
 def q_load_audit() -> str:
     return _with(SALES, CLEANED, RELOAD) + """select load_batch_id, source_file_name, count(*) as row_count,
   cast(sum(revenue) as double) as revenue, min(sale_date) as first_sale_date, max(sale_date) as last_sale_date,

@@ -204,6 +204,18 @@ def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.reconciliation(FX.staged_with_reload(spark, sf_dir), FX.upserted_fact(spark, sf_dir))
 
 
+def q_reconciliation_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RP.reconciliation_by_batch(FX.staged_with_reload(spark, sf_dir), FX.upserted_fact(spark, sf_dir))
+
+
+def q_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WH.null_counts(FX.staged(spark, sf_dir), FX.NOT_NULL_COLUMNS)
+
+
+def q_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CL.column_profile(FX.cleaned(spark, sf_dir))
+
+
 def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.load_audit(FX.staged_with_reload(spark, sf_dir))
 
