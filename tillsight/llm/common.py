@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +42,21 @@ def once(df: DataFrame, keep: list[str], values: dict[str, Column]) -> DataFrame
     refers to it and pushes filters on it below; it does neither across a generator."""
     packed = F.array(F.struct(*[v.alias(k) for k, v in values.items()]))
     return df.select(*keep, F.explode_outer(packed).alias("_once")).select(*keep, *[F.col(f"_once.{k}") for k in values])
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, like ``--py-files``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_llm_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sources = tempfile.mkdtemp()
+    shutil.copytree(package, os.path.join(sources, "src", os.path.basename(package)), ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(os.path.join(sources, "llm_package"), "zip", os.path.join(sources, "src")))
+    sc._llm_shipped = True
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
