@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.session import materialize
+from tillsight.session import checkpoint_dir
 
 # Fixed value: the word separators of the documents' contract.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -24,7 +25,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: one Parquet table in the shared checkpoint folder, read back."""
-    return materialize(df, f"llm-{name}")
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, pii, quality_rules
-from .common import read
+from . import decontaminate, ngram_join, packing, pii, quality_rules, token_codes, url_filter, warc
+from .common import read, scratch
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def op1_pii_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +20,26 @@ def op1_pii_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(docs, pii.fit(docs))
 
 
+def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "shards")
+    manifest = token_codes.write_shards(read(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"), "words", end_id=2)
+    return token_codes.read_shards(spark, folder, manifest)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), "blanks", end_id=1, with_ids=False)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    files = warc.write_archives(read(spark, sf_dir, "pages"), folder)
+    return warc.digests(warc.read_archives(spark, folder, files))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_copies(read(spark, sf_dir, "documents"))
 
@@ -30,8 +55,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+QUERIES = (op1_pii_segments, op2_token_codes, op3_packing, op4_warc, op6_url_filter, op7_ngram_jaccard_join,
+           op9_benchmark_decontamination, op10_quality_rules)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii_segments, op7_ngram_jaccard_join, op9_benchmark_decontamination, op10_quality_rules)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
