@@ -59,11 +59,21 @@ def price(sizes: np.ndarray, duals: np.ndarray, capacity: int) -> tuple[float, n
     return float(value[capacity]), pattern
 
 
-def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndarray:
+def enter(inverse: np.ndarray, step: np.ndarray, out: int) -> np.ndarray:
+    """Inverse of the basis after a column with coordinates ``step`` has taken the place ``out``. Sums of products
+    are written out here and below: small matrices gain nothing from a threaded BLAS beside a busy JVM."""
+    row = inverse[out] / step[out]
+    inverse = inverse - step[:, None] * row[None, :]
+    inverse[out] = row
+    return inverse
+
+
+def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """One pattern for each class, its largest piece first and the room filled as far as it goes, used until a
-    class runs out; the pattern takes that class's column, so the basis is triangular."""
+    class runs out; the pattern takes that class's column, so the basis is triangular. With its inverse."""
     m, left = len(sizes), demand.copy()
     basis = np.diag((capacity // sizes).astype(float))
+    inverse = np.diag(1 / np.diag(basis))
     while (left > 0).any():
         open_ = np.flatnonzero(left > 0)
         pattern = np.zeros(m)
@@ -75,8 +85,8 @@ def first_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndar
         out = used[int((left[used] / pattern[used]).argmin())]
         left[used] -= left[out] / pattern[out] * pattern[used]
         left[out] = 0
-        basis[:, out] = pattern
-    return basis
+        basis[:, out], inverse = pattern, enter(inverse, (inverse * pattern).sum(axis=1), out)
+    return basis, inverse
 
 
 def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 0.002, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
@@ -84,28 +94,21 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int, gap:
     pieces' total size, or after ``rounds`` new patterns (few pieces need no better basis: what is not bulk is cut).
     A slight fixed perturbation of the demand keeps the simplex steps from stalling."""
     demand = demand * (1 + 1e-6 * np.random.default_rng(5).random(len(sizes)))
-    basis, least = first_basis(sizes, demand, capacity), float(sizes @ demand) / capacity
-    inverse = np.linalg.inv(basis)
-    amount = np.maximum(inverse @ demand, 0)
-    for k in range(rounds):
+    basis, inverse = first_basis(sizes, demand, capacity)
+    least = float((sizes * demand).sum()) / capacity
+    for _ in range(rounds):
+        amount = np.maximum((inverse * demand).sum(axis=1), 0)
         if amount.sum() <= (1 + gap) * least:
             break
-        value, pattern = price(sizes, np.ones(len(sizes)) @ inverse, capacity)
+        value, pattern = price(sizes, inverse.sum(axis=0), capacity)
         least = max(least, amount.sum() / value)
         if value <= 1 + gap:
             break
-        step = inverse @ pattern
+        step = (inverse * pattern).sum(axis=1)
         up = np.flatnonzero(step > 1e-9)
         out = up[int((amount[up] / step[up]).argmin())]
-        basis[:, out] = pattern
-        if k % 100 == 99:
-            inverse = np.linalg.inv(basis)
-        else:
-            row = inverse[out] / step[out]
-            inverse = inverse - np.outer(step, row)
-            inverse[out] = row
-        amount = np.maximum(inverse @ demand, 0)
-    return basis, amount
+        basis[:, out], inverse = pattern, enter(inverse, step, out)
+    return basis, np.maximum((inverse * demand).sum(axis=1), 0)
 
 
 def patterns(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, dict[int, int]]], dict[int, int]]:
