@@ -108,8 +108,8 @@ def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOL
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that contain no test item."""
-    bad = written(contained(docs, benchmark, threshold).select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
-    return docs.join(sized(bad), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    bad = written(contained(docs, benchmark, threshold).select(F.col("doc_id").alias("_llm_id")).distinct(), "contaminated")
+    return docs.join(sized(bad), docs["doc_id"].eqNullSafe(F.col("_llm_id")), "left_anti")
 
 
 ORACLE = """

@@ -205,8 +205,8 @@ def _repeats(sketch: DataFrame) -> bool:
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The least document of every class, once; rows without an id stay."""
     found = written(near_copies(docs, threshold), "near")
-    drop = found.where("doc_id <> class_id").select(F.col("doc_id").alias("_id")).distinct()
-    left = docs.join(sized(written(drop, "copies")), docs["doc_id"] == F.col("_id"), "left_anti")
+    drop = found.where("doc_id <> class_id").select(F.col("doc_id").alias("_llm_id")).distinct()
+    left = docs.join(sized(written(drop, "copies")), docs["doc_id"] == F.col("_llm_id"), "left_anti")
     if _repeats(found):
         left = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
     return left
