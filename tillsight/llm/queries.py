@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, packing, pii, quality_rules, token_codes, url_filter, warc
+from . import decontaminate, ngram_join, packing, phrase_dedup, pii, quality_rules, suffix_dedup, token_codes, url_filter, warc
 from .common import read, scratch
 
 
@@ -36,6 +36,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digests(warc.read_archives(spark, folder, files))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents"), with_kept=False)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
@@ -44,6 +48,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_copies(read(spark, sf_dir, "documents"))
 
 
+def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.dedup(read(spark, sf_dir, "documents"), with_kept=False)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -55,8 +63,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
-QUERIES = (op1_pii_segments, op2_token_codes, op3_packing, op4_warc, op6_url_filter, op7_ngram_jaccard_join,
-           op9_benchmark_decontamination, op10_quality_rules)
+QUERIES = (op1_pii_segments, op2_token_codes, op3_packing, op4_warc, op5_suffix_dedup, op6_url_filter,
+           op7_ngram_jaccard_join, op8_phrase_dedup, op9_benchmark_decontamination, op10_quality_rules)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
