@@ -33,7 +33,9 @@ def coerce_number(c: Column | str, dtype: str = "decimal(18,4)") -> Column:
 
 # Day-first formats tried in order; the first that parses wins.
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d/M/yyyy H:m", "d/M/yyyy H:m:s", "d-M-yyyy", "d.M.yyyy",
-                     "yyyy-M-d", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy/M/d")
+                     "yyyy-M-d", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy/M/d",
+                     "yyyy-M-d H:m:s.SSSSSS", "yyyy-M-d'T'H:m:s.SSSSSS", "yyyy-M-d'T'H:m:s[.SSSSSS]XXX",
+                     "d/M/yy", "d/M/yyyy h:m:s a", "d/M/yyyy K:m:s a")
 
 
 def parse_day_first(c: Column | str, formats: Sequence[str] = DAY_FIRST_FORMATS) -> Column:

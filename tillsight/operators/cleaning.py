@@ -69,12 +69,23 @@ def clean_sales(raw: DataFrame, category_map: Mapping[str, str] = K.CATEGORY_MAP
                   F.bround(F.try_divide(rev, qty), 0).cast("double"), F.lit(0.0))))
 
 
-def drop_incomplete(df: DataFrame, keys: Sequence[str] = ("source_row_id", "product_code",
-                                                          "sale_date", "customer_name")) -> DataFrame:
+KEY_FIELDS = ("source_row_id", "product_code", "sale_date", "customer_name")
+
+
+def drop_incomplete(df: DataFrame, keys: Sequence[str] = KEY_FIELDS) -> DataFrame:
     """Drop rows missing any key field."""
     return df.dropna(subset=[k for k in keys if k in df.columns])
 
 
+def incomplete(df: DataFrame, keys: Sequence[str] = KEY_FIELDS) -> DataFrame:
+    """The rows that ``drop_incomplete`` drops."""
+    missing = F.lit(False)
+    for k in keys:
+        if k in df.columns:
+            missing = missing | F.col(k).isNull()
+    return df.filter(missing)
+
+
 def row_hash(columns: Sequence[str]) -> Column:
     """SHA-256 hex of the pipe-joined text form of ``columns`` (null as empty)."""
     return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(""))

@@ -61,11 +61,9 @@ def rfm_summary(snapshot: DataFrame) -> DataFrame:
 def monthly_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Per calendar month: lines, distinct customers, revenue, profit, margin.
 
-    The date dimension is one row per day (bounded by the calendar) and is
-    broadcast.
+    The join is left to adaptive execution, which broadcasts the date dimension only at a checked size.
     """
-    f = fact.join(F.broadcast(dim_date.select("date_key", "year_number", "month_number", "year_month")),
-                  "date_key")
+    f = fact.join(dim_date.select("date_key", "year_number", "month_number", "year_month"), "date_key")
     return (f.groupBy("year_number", "month_number", "year_month").agg(
         F.count(F.lit(1)).alias("transaction_count"),
         F.count_distinct("customer_key").alias("customer_count"),
@@ -174,17 +172,24 @@ def top_products_by_revenue(sales: DataFrame, n: int = 10) -> DataFrame:
     return product_totals(sales).orderBy(F.col("revenue").desc(), "product_code").limit(n)
 
 
+# Shares of a segment's customers that are joined apart.
+SALT = 32
+
+
 def revenue_share(sales: DataFrame) -> DataFrame:
     """Per customer and segment: revenue, profit and share of the segment's revenue.
 
     Segment totals are a second aggregate of the per-customer rows (one row
-    per segment), joined back on the segment; a window partitioned by
-    segment would put a whole segment in one task.
+    per segment), joined back on the segment and one of ``SALT`` shares of its
+    customers, so a segment that holds most customers is spread over tasks.
     """
     per = sales.groupBy("customer_name", F.col("segment_name").alias("segment")).agg(
         F.sum("revenue").alias("_rev"), F.sum("profit").alias("_prof"))
     tot = per.groupBy("segment").agg(F.sum("_rev").alias("_seg_rev"))
-    return (per.join(tot, per.segment.eqNullSafe(tot.segment), "left").drop(tot.segment)
+    per = per.withColumn("_salt", F.pmod(F.xxhash64("customer_name"), F.lit(SALT)).cast("int"))
+    tot = tot.select(F.col("segment").alias("_seg"), "_seg_rev",
+                     F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_s"))
+    return (per.join(tot, per.segment.eqNullSafe(F.col("_seg")) & (F.col("_salt") == F.col("_s")), "left")
             .select("customer_name", "segment",
                     F.col("_rev").cast("double").alias("revenue"),
                     F.col("_prof").cast("double").alias("profit"),

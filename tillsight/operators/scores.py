@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillsight import constants as K
 from tillsight.functions.columns import trim_unicode
-from tillsight.operators.warehouse import EtlError, upsert
+from tillsight.operators.warehouse import EtlError, newest_per_key, upsert
 from tillsight.sources.sales import require_columns
 
 SCORE_KEYS = ["snapshot_date", "customer_key", "model_name", "model_version"]
@@ -50,8 +50,9 @@ def require_known(staged: DataFrame, dim_customer: DataFrame) -> None:
 
 
 def merge_scores(target: DataFrame | None, source: DataFrame) -> DataFrame:
-    """Upsert on (snapshot, customer_key, model, version); newest batch wins."""
-    src = source.select(*SCORE_KEYS, "churn_prob", "risk_score", "load_batch_id")
+    """Upsert on (snapshot, customer_key, model, version); the source wins, of several source rows the largest score."""
+    src = newest_per_key(source.select(*SCORE_KEYS, "churn_prob", "risk_score", "load_batch_id"), SCORE_KEYS,
+                         ["churn_prob", "risk_score"])
     if target is None:
         return src
     return upsert(target.select(*src.columns), src, SCORE_KEYS)

@@ -676,6 +676,30 @@ def q_champion() -> str:
 from metrics"""
 
 
+# ------------------------------------------------------- through the pipeline
+
+def q_pipeline_fact() -> str:
+    return _with(SALES) + f"""select source_row_id, load_batch_id,
+  cast(year(d) * 10000 + month(d) * 100 + day(d) as integer) as date_key, cast(year(d) * 100 + month(d) as integer) as sale_month,
+  customer_name, product_code, cast(revenue as double) as revenue, cast(profit as double) as profit
+from (
+  select source_row_id, customer_name, product_code, profit,
+         case when load_batch_id = 'batch_b' or sale_date < date '1995-02-01' then 'batch_11'
+              when sale_date >= {_d(P.RELOAD_FROM)} then 'batch_10' else 'batch_9' end as load_batch_id,
+         case when load_batch_id = 'batch_a' and sale_date < date '1995-02-01' then sale_date + 31 else sale_date end as d,
+         case when load_batch_id = 'batch_a' and sale_date >= {_d(P.RELOAD_FROM)} then revenue + 1 else revenue end as revenue
+  from sales)"""
+
+
+def q_pipeline_scores() -> str:
+    return _with(SALES, features_ctes([P.TEST_SNAPSHOT])) + f"""select customer_name,
+  case when customer_name like '%7' then 's10' else 's9' end as load_batch_id,
+  p / case when customer_name like '%7' then 4 else 1 end as churn_prob,
+  p * 10 / case when customer_name like '%7' then 4 else 1 end as risk_score
+from (select customer_name, {pseudo()} as p from features)
+union all select 'nobody', 'rejected s9', 0.5, 5.0"""
+
+
 def build() -> dict[str, str]:
     """All oracle texts, keyed like ``__spark_entry__.queries()``."""
     out = {}

@@ -23,6 +23,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,11 +44,14 @@ def _path(base: str, name: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table is there; anything but a missing path (an unreadable table, say) raises."""
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001 - missing path is the normal first-run case
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def read(spark: SparkSession, base: str, name: str) -> DataFrame | None:
@@ -66,24 +70,36 @@ def replace(df: DataFrame, base: str, name: str, partition_by: Sequence[str] = (
     return staged
 
 
+def drop_partition(spark: SparkSession, base: str, name: str, **values) -> None:
+    """Delete one partition folder: dynamic overwrite leaves a partition that the new content no longer has."""
+    folder = "/".join([_path(base, name), *[f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in values.items()]])
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # ------------------------------------------------------------------- staging
 
 def stage_batch(raw: DataFrame, base: str, batch_id: str, source_file: str | None = None,
                 category_map: Mapping[str, str] = K.CATEGORY_MAP) -> None:
-    """Clean one source batch and append it to staging with lineage columns."""
+    """Clean one source batch and put it into staging with lineage columns; incomplete rows go to ``sale_rejects``."""
     require_columns(raw, [f.name for f in SALES_SCHEMA.fields if f.name != "load_batch_id"], "sales batch")
-    clean = CL.drop_incomplete(CL.clean_sales(raw.drop("load_batch_id"), category_map))
+    clean = CL.clean_sales(raw.drop("load_batch_id"), category_map)
     staged = with_lineage(clean, batch_id, source_file)
     staged = staged.withColumn("row_hash", CL.row_hash([f.name for f in SALES_SCHEMA.fields
                                                         if f.name != "load_batch_id"]))
-    # sorted within each file by date, then customer: Parquet min/max statistics let
-    # date-window scans skip row groups (no shuffle: a per-task sort)
-    (staged.sortWithinPartitions("sale_date", "customer_name")
-     .write.mode("append").partitionBy("load_batch_id").parquet(_path(base, "staging")))
+    # staging a batch again replaces it; rows without a key field are kept apart, not lost
+    for name, part in (("staging", CL.drop_incomplete(staged)), ("sale_rejects", CL.incomplete(staged))):
+        drop_partition(raw.sparkSession, base, name, load_batch_id=batch_id)
+        # sorted within each file by date, then customer: Parquet min/max statistics let
+        # date-window scans skip row groups (no shuffle: a per-task sort)
+        (part.sortWithinPartitions("sale_date", "customer_name")
+         .write.mode("append").partitionBy("load_batch_id").parquet(_path(base, name)))
 
 
 # ----------------------------------------------------------------------- ETL
 
+# The newest of several staged rows with one source id: by load time, then a total tie-break.
+NEWEST = ("loaded_at", "load_batch_id", "row_hash")
 # Fact files are sorted by customer and date inside each month partition.
 FACT_SORT = ("customer_key", "date_key")
 
@@ -102,7 +118,8 @@ def run_etl(spark: SparkSession, base: str, batch_id: str | None = None,
     dp = WH.merge_dim_product(read(spark, base, "dim_product"), WH.product_candidates(staging, batch_id))
     dp = replace(dp, base, "dim_product")
 
-    new = (WH.fact_rows(staging, dc, dp, batch_id)
+    rows = WH.newest_per_key(WH.only_batch(staging, batch_id), ["source_row_id"], NEWEST)
+    new = (WH.fact_rows(rows, dc, dp)
            .withColumn("sale_month", (F.col("date_key") / 100).cast("int")))
     old = read(spark, base, "fact_sales")
     if old is None:
@@ -110,19 +127,18 @@ def run_etl(spark: SparkSession, base: str, batch_id: str | None = None,
         return
     new = materialize(new, "fact_new")
     # months touched by the batch: bounded by the calendar
-    months = [r[0] for r in new.select("sale_month").distinct().collect()]
-    touched = old.filter(F.col("sale_month").isin(months))          # partition pruning
+    months = {r[0] for r in new.select("sale_month").distinct().collect()}
     # a re-loaded row may move to another month: drop it wherever it was. This
     # semi join reads only the two key columns and the partition column of the
     # fact (column pruning), not the rows themselves.
     moved = old.join(new.select("source_system", "source_row_id"), ["source_system", "source_row_id"],
                      "left_semi").select("sale_month").distinct().collect()
-    extra = [r[0] for r in moved if r[0] not in months]
-    if extra:
-        touched = old.filter(F.col("sale_month").isin(months + extra))
-    merged = WH.upsert(touched.select(*new.columns), new, ["source_system", "source_row_id"],
-                       order=["load_batch_id"])
-    replace(merged, base, "fact_sales", ["sale_month"], FACT_SORT)
+    months |= {r[0] for r in moved}
+    touched = old.filter(F.col("sale_month").isin(*months))         # partition pruning
+    merged = replace(WH.upsert(touched.select(*new.columns), new, ["source_system", "source_row_id"]),
+                     base, "fact_sales", ["sale_month"], FACT_SORT)
+    for month in months - {r[0] for r in merged.select("sale_month").distinct().collect()}:
+        drop_partition(spark, base, "fact_sales", sale_month=month)
 
 
 def _key(d) -> int:
@@ -141,7 +157,7 @@ def sales_from_warehouse(spark: SparkSession, base: str, first=None, last=None)
                            & F.col("date_key").between(_key(first), _key(last)))
     dc = spark.read.parquet(_path(base, "dim_customer")).select("customer_key", "customer_name")
     dd = spark.read.parquet(_path(base, "dim_date")).select("date_key", F.col("full_date").alias("sale_date"))
-    return (fact.join(F.broadcast(dd), "date_key").join(dc, "customer_key")
+    return (fact.join(dd, "date_key").join(dc, "customer_key")
             .select("customer_name", "sale_date", "revenue", "profit", "promo_pct",
                     F.col("segment_at_sale").alias("segment_name"), "source_row_id"))
 
@@ -155,7 +171,10 @@ def build_snapshots(spark: SparkSession, base: str, snapshots: Sequence, lookbac
     s = sales_from_warehouse(spark, base, first, last)
     f = FE.with_churn_label(FE.customer_features(s, snaps, lookback), s, snaps, label_windows)
     f = f.withColumn("lookback_days", F.lit(lookback))
-    return replace(f, base, "customer_snapshot", ["snapshot_date"])
+    out = replace(f, base, "customer_snapshot", ["snapshot_date"])
+    for gone in set(snaps) - {r[0] for r in out.select("snapshot_date").distinct().collect()}:
+        drop_partition(spark, base, "customer_snapshot", snapshot_date=gone)
+    return out
 
 
 def model_input(spark: SparkSession, base: str) -> DataFrame:
@@ -175,8 +194,11 @@ def load_scores(spark: SparkSession, base: str, scores: DataFrame, snapshot_date
     staged = stage_scores(scores, snapshot_date, model_name, model_version, batch_id)
     dc = spark.read.parquet(_path(base, "dim_customer"))
     rejects = unknown_customers(staged, dc)
-    rejects.write.mode("append").parquet(_path(base, "score_rejects"))
-    src = resolve_customers(staged, dc)
+    key = {"snapshot_date": snapshot_date, "model_name": model_name, "model_version": model_version}
+    drop_partition(spark, base, "score_rejects", **key, load_batch_id=batch_id)
+    rejects.write.mode("append").partitionBy(*key, "load_batch_id").parquet(_path(base, "score_rejects"))
+    # one row per key: of several scores for a customer the largest, so a customer at risk is not missed
+    src = WH.newest_per_key(resolve_customers(staged, dc), SCORE_KEYS, ["churn_prob", "risk_score"])
     old = read(spark, base, "churn_score")
     part = (F.col("snapshot_date") == F.lit(snapshot_date)) & (F.col("model_name") == model_name) \
         & (F.col("model_version") == model_version)

@@ -24,19 +24,22 @@ def _writer(base: str, batch_prefix: str, category_map: Mapping[str, str]):
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch_id = f"{batch_prefix}{epoch_id:08d}"
         clean = CL.drop_incomplete(CL.clean_sales(batch.drop("load_batch_id"), category_map))
-        (clean.withColumn("load_batch_id", F.lit(batch_id))
-              .withColumn("loaded_at", F.current_timestamp())
-              .write.mode("append").partitionBy("load_batch_id").parquet(f"{base.rstrip('/')}/staging"))
+        staged = clean.withColumn("load_batch_id", F.lit(batch_id)).withColumn("loaded_at", F.current_timestamp())
+        staged = staged.withColumn("row_hash", CL.row_hash([f.name for f in SALES_SCHEMA.fields
+                                                            if f.name != "load_batch_id"]))
+        # a replayed micro-batch replaces its own partition
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("load_batch_id").parquet(f"{base.rstrip('/')}/staging"))
     return write
 
 
 def ingest_files(spark: SparkSession, source_dir: str, base: str, fmt: str = "parquet",
-                 name: str = "staging_ingest", batch_prefix: str = "stream-",
+                 name: str = "staging_ingest", batch_prefix: str | None = None,
                  category_map: Mapping[str, str] = K.CATEGORY_MAP, max_files: int = 100,
                  available_now: bool = True, **options):
     """Start the file -> staging stream; returns the StreamingQuery.
 
-    Each file keeps its name as ``source_file_name`` (file metadata
+    Load batches are named after the stream unless ``batch_prefix`` says otherwise. Each file keeps its name as ``source_file_name`` (file metadata
     column); ``max_files`` bounds the size of one micro-batch.
     """
     reader = spark.readStream.format(fmt).schema(
@@ -44,7 +47,7 @@ def ingest_files(spark: SparkSession, source_dir: str, base: str, fmt: str = "pa
     stream = (reader.option("maxFilesPerTrigger", max_files).options(**options).load(source_dir)
               .withColumn("source_file_name", F.col("_metadata.file_name")))
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    w = (stream.writeStream.foreachBatch(_writer(base, batch_prefix, category_map))
+    w = (stream.writeStream.foreachBatch(_writer(base, f"{name}-" if batch_prefix is None else batch_prefix, category_map))
          .option("checkpointLocation", ckpt).queryName(name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
