@@ -63,12 +63,14 @@ def running_sums_desc(df: DataFrame, key: str, sum_cols: Sequence[str], buckets:
 
 
 def number_rows(df: DataFrame, order: Sequence[str], start: int | Column = 1,
-                buckets: int = 64, name: str = "row_index") -> DataFrame:
+                buckets: int | None = None, name: str = "row_index") -> DataFrame:
     """Distinct consecutive integers ``start, start+1, ...`` for unique rows.
 
     Rows are numbered in (hash bucket of ``order``, ``order``) order: stable
-    for the same input, spread over ``buckets`` tasks.
+    for the same input and bucket count, spread over ``buckets`` tasks (the
+    session's shuffle partitions by default, so it follows the cluster).
     """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(buckets))
     one = df.withColumn("_one", F.lit(1))
     out = running_sums(one, bucket, [F.col(c) for c in order], ["_one"], prefix="_n")

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "tillsight",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """A session with AQE on and the UI off.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; the
-    shuffle partition count is only a starting point because AQE coalesces
-    small partitions and splits skewed ones at run time.
+    On a cluster pass ``master=None`` and let spark-submit decide, the number
+    of shuffle partitions too: adaptive execution joins small partitions and
+    splits skewed joins, but never an aggregate's partition.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -24,7 +24,6 @@ def build_session(master: str | None = None, app: str = "tillsight",
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -32,6 +31,8 @@ def build_session(master: str | None = None, app: str = "tillsight",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
