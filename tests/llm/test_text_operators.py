@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,7 +178,8 @@ def test_suffix_dedup(docs, rows, no_docs):
 def test_multikey_sort():
     rng = random.Random(9)
     strings = [bytes(rng.choice(b"ab") for _ in range(20)) for _ in range(400)] + [b"ab" * 10] * 5
-    order, group = suffix_dedup.multikey_sort(suffix_dedup.characters(strings, 20))
+    data = np.frombuffer(b"".join(s.ljust(24, b"\0") for s in strings), np.uint8)
+    order, group = suffix_dedup.multikey_sort(suffix_dedup.characters(data, np.arange(len(strings)) * 24, (0, 8, 16)))
     ordered = [strings[k] for k in order]
     assert ordered == sorted(strings)
     assert all((ordered[k] == ordered[k - 1]) == (group[k] == group[k - 1]) for k in range(1, len(order)))

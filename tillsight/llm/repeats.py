@@ -275,7 +275,8 @@ def answer_rows(found: pd.DataFrame) -> Iterator[pa.RecordBatch]:
         data["first"], data["last"], data["least"] = first[order], last[order], least[order]
         c = c[order]
         cut = np.flatnonzero(np.r_[True, c[1:] != c[:-1], True])
-        yield pa.RecordBatch.from_arrays([pa.array(c[cut[:-1]]), pa.array([data[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary())], schema=schema)
+        press = zstandard.ZstdCompressor(level=1).compress
+        yield pa.RecordBatch.from_arrays([pa.array(c[cut[:-1]]), pa.array([press(data[x:y].tobytes()) for x, y in zip(cut, cut[1:])], pa.binary())], schema=schema)
 
 
 def answered(table: DataFrame, answers: DataFrame, apply: Callable[[Chunk, np.ndarray], list[tuple]], names: str, schema: pa.Schema) -> DataFrame:
@@ -285,7 +286,7 @@ def answered(table: DataFrame, answers: DataFrame, apply: Callable[[Chunk, np.nd
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, parts in zip(batch.column("data"), batch.column("answers").to_pylist()):
-                rows = apply(Chunk.unpacked(data.as_py()), np.frombuffer(b"".join(parts or []), ANSWER))
+                rows = apply(Chunk.unpacked(data.as_py()), np.frombuffer(b"".join(map(zstandard.ZstdDecompressor().decompress, parts or [])), ANSWER))
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
 
     return map_batches(table.select("chunk", "data").join(gathered, "chunk", "left"), run, names)

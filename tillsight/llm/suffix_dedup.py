@@ -5,7 +5,8 @@ a partial suffix array: Spark samples splitters and range-partitions the suffixe
 the anchor on; every bucket sorts its strings with multikey quicksort on eight-byte characters. Splitters lie
 between different leading bytes, so equal strings meet in one bucket and no run of equals crosses a boundary.
 Equal strings are neighbours after the sort; the least document of a run decides for all of them.
-A string that many documents share is one row a chunk, however many copies the chunk holds.
+A slice of text that many documents share is held once a chunk, however many copies the chunk has, and exact
+copies of whole documents are settled before: all their strings start in the earliest of them.
 
 Matches are judged on the input, never cross documents, and overlaps count. Edge cases: null texts are empty;
 texts shorter than ``LENGTH`` bytes lose nothing; documents without an id come after all others and do not
@@ -15,24 +16,31 @@ remove from one another, nor do repeated rows with one id; extra columns are ign
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import repeats
-from .common import map_batches, written
+from .common import map_batches, sized, written
 from .repeats import Chunk, Kind
+from .shingling import mix
 
 LENGTH, GRAM = 50, 16
+#: Bytes of text for each bucket of suffixes, and chunks that the splitters are sampled from at most.
+PART, SAMPLE_CHUNKS = 6_000_000, 32
 
 
-def characters(strings: list[bytes], width: int) -> np.ndarray:
-    """Rows of big-endian eight-byte characters, padded with zeros."""
-    width = -(-width // 8) * 8
-    return np.frombuffer(b"".join(s.ljust(width, b"\0") for s in strings), ">u8").reshape(len(strings), width // 8).astype(np.uint64)
+def characters(data: np.ndarray, starts: np.ndarray, offsets) -> np.ndarray:
+    """Big-endian eight-byte characters of ``data`` at every start plus each of the offsets, a column an offset."""
+    eight = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
+    return np.column_stack([eight[starts + o].astype(np.uint64) for o in offsets])
 
 
 def multikey_sort(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,49 +63,153 @@ def multikey_sort(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, group
 
 
-def decide(rows: pd.DataFrame, length: int = LENGTH) -> pd.DataFrame:
-    """Intervals of window starts with the least document of their strings, where a larger one holds them too."""
-    if not len(rows):
-        return pd.DataFrame(columns=["chunk", "first", "last", "least"])
-    text = rows["slice"].tolist()
-    size = np.array([len(s) for s in text])
-    low, high = rows["low"].to_numpy(np.int64), rows["high"].to_numpy(np.int64)
-    key = rows["key"].to_numpy(np.int64).view(np.uint64)
-    order, group = multikey_sort(np.column_stack([key, size.astype(np.uint64), characters(text, int(size.max()))]))
-    same = np.empty(len(rows), np.int64)  # equal slices of equal anchors
+@dataclass
+class Slices:
+    """Different slices of text at repeated anchors: anchor hash, least and largest document, size, the text of all
+    in a row, number of places and the places of all in a row (starts of the slices in their chunk)."""
+    key: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    size: np.ndarray
+    text: np.ndarray
+    count: np.ndarray
+    place: np.ndarray
+
+    def take(self, rows: np.ndarray) -> Slices:
+        return Slices(self.key[rows], self.low[rows], self.high[rows], self.size[rows], self.text[ranges(self.size, rows)],
+                      self.count[rows], self.place[ranges(self.count, rows)])
+
+    def packed(self) -> bytes:
+        head = struct.pack("<3Q", len(self.key), len(self.text), len(self.place))
+        parts = (self.key.astype("<u8"), self.low.astype("<i8"), self.high.astype("<i8"), self.size.astype("<u2"), self.count.astype("<u4"),
+                 self.place.astype("<i8"), self.text)
+        return zstandard.ZstdCompressor(level=1).compress(head + b"".join(x.tobytes() for x in parts))
+
+    @staticmethod
+    def unpacked(data: bytes) -> Slices:
+        data = zstandard.ZstdDecompressor().decompress(data)
+        n, n_text, n_place = struct.unpack_from("<3Q", data)
+        out, at = [], 24
+        for kind, k in (("<u8", n), ("<i8", n), ("<i8", n), ("<u2", n), ("<u4", n), ("<i8", n_place), ("u1", n_text)):
+            out.append(np.frombuffer(data, kind, k, at))
+            at += out[-1].nbytes
+        key, low, high, size, count, place, text = out
+        return Slices(key, low, high, size.astype(np.int64), text, count.astype(np.int64), place)
+
+
+def ranges(sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Indices of the elements of the given rows in an array that holds ``sizes`` elements a row, row after row."""
+    begin, n = (np.cumsum(sizes) - sizes)[rows], sizes[rows]
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def chunk_slices(chunk: Chunk, masks: list[dict], buckets: int, kind: Kind) -> tuple[Slices, np.ndarray]:
+    """The chunk's different slices at repeated anchors, and the bytes from the anchor on that lead each of them."""
+    _, r = repeats.repeated_runs(chunk, masks, buckets, kind)
+    data = np.frombuffer(b"".join(chunk.texts) + b"\0" * (2 * kind.length), np.uint8)
+    size = r.last - r.first + kind.length
+    width = int(size.max()) if len(size) else 0
+    mark = r.key ^ size.astype(np.uint64)  # a hash of anchor and whole slice, to hold equal slices of the chunk once
+    for o in range(0, width, 8):
+        part = characters(data, r.first + np.minimum(o, size - 8), [0])[:, 0]
+        mark = np.where(o < size, mix(mark * np.uint64(0x9E3779B97F4A7C15) + part), mark)
+    _, first, where, count = np.unique(mark, return_index=True, return_inverse=True, return_counts=True)
+    doc = repeats.order_of(chunk)[r.doc] if len(chunk.ids) else np.zeros(0, np.int64)
+    low, high = np.full(len(first), repeats.NO_ID), np.full(len(first), -2**63)
+    np.minimum.at(low, where, doc)
+    np.maximum.at(high, where, doc)
+    n = size[first]
+    text = data[np.repeat(r.first[first] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    place = r.first[np.argsort(where, kind="stable")]
+    return Slices(r.key[first], low, high, n, text, count, place), characters(data, r.anchor[first], [0])[:, 0]
+
+
+def sampled_splitters(table: DataFrame, kind: Kind, parts: int, sample: int = SAMPLE_CHUNKS) -> np.ndarray:
+    """Quantiles of the leading bytes of anchors in at most ``sample`` chunks, 512 anchors each."""
+    schema = pa.schema([("lead", pa.uint64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("data"):
+                chunk = Chunk.unpacked(data.as_py())
+                anchors = repeats.runs(*repeats.symbols(chunk, kind), kind).anchor
+                text = np.frombuffer(b"".join(chunk.texts) + b"\0" * 8, np.uint8)
+                lead = characters(text, anchors[::max(1, len(anchors) // 512)][:512], [0])[:, 0] if len(anchors) else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array((lead ^ np.uint64(1 << 63)).view(np.int64))], names=["lead"])
+
+    chosen = table.orderBy(F.xxhash64("chunk")).limit(sample).select("chunk")
+    got = map_batches(table.join(F.broadcast(chosen), "chunk").select("data"), run, "lead long").collect()  # 512 numbers a chunk
+    lead = np.sort(np.array([r["lead"] for r in got], np.int64))
+    return lead[np.linspace(0, len(lead) - 1, parts + 1).astype(int)[1:-1]] if len(lead) else lead
+
+
+def decide(s: Slices, length: int = LENGTH, most: int = 400_000) -> tuple[np.ndarray, ...]:
+    """(row, first, last, least): intervals of a slice's windows whose string starts in the document ``least``, for
+    slices that a larger document holds too."""
+    n = len(s.key)
+    width = -(-int(s.size.max()) // 8) * 8
+    padded = np.zeros((n, width), np.uint8)
+    padded[np.repeat(np.arange(n), s.size), np.arange(len(s.text)) - np.repeat(np.cumsum(s.size) - s.size, s.size)] = s.text
+    data, base = padded.ravel(), np.arange(n) * width
+    order, group = multikey_sort(np.column_stack([s.key, s.size.astype(np.uint64), characters(data, base, range(0, width, 8))]))
+    same = np.empty(n, np.int64)
     same[order] = group
-    least = np.full(len(rows), repeats.NO_ID)
-    np.minimum.at(least, same, low)
-    alone = pd.Series(same).groupby(key).transform("nunique").to_numpy() == 1  # anchors that have one slice only
-    out = [(k, 0, int(size[k]) - length, int(least[same[k]])) for k in np.flatnonzero(alone & (high > least[same]))]
-    # anchors with several slices: sort the strings of all windows of the different slices
-    heads = np.flatnonzero(~alone & _first_of(same))
-    if len(heads):
-        count = size[heads] - length + 1
-        owner = np.repeat(heads, count)
-        at = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        order, group = multikey_sort(np.column_stack([key[owner], characters([text[o][a:a + length] for o, a in zip(owner, at)], length)]))
-        g = np.empty(len(owner), np.int64)
-        g[order] = group
-        low_of = np.full(len(owner), repeats.NO_ID)
-        np.minimum.at(low_of, g, least[same[owner]])
-        best = low_of[g]
-        begin = dict(zip(same[heads].tolist(), (np.cumsum(count) - count).tolist()))
-        for k in np.flatnonzero(~alone):
-            x = begin[int(same[k])]
-            b = best[x:x + size[k] - length + 1]
-            cut = np.flatnonzero(np.r_[True, b[1:] != b[:-1], True])
-            out += [(k, int(p), int(q) - 1, int(b[p])) for p, q in zip(cut, cut[1:]) if b[p] < high[k]]
-    chunk, places = rows["chunk"].tolist(), rows["places"].tolist()
-    return pd.DataFrame([(chunk[k], int(s) + p, int(s) + q, m) for k, p, q, m in out for s in np.frombuffer(places[k], "<i8")],
-                        columns=["chunk", "first", "last", "least"])
-
-
-def _first_of(same: np.ndarray) -> np.ndarray:
-    """The first row of every group."""
-    out = np.zeros(len(same), bool)
-    out[np.unique(same, return_index=True)[1]] = True
-    return out
+    least = np.full(n, repeats.NO_ID)
+    np.minimum.at(least, same, s.low)
+    least = least[same]
+    _, head, of_head = np.unique(same, return_index=True, return_inverse=True)  # the different slices
+    _, of_key, variants = np.unique(s.key[head], return_inverse=True, return_counts=True)
+    alone = (variants[of_key] == 1)[of_head]
+    rows = np.flatnonzero(alone & (s.high > least))
+    out = [(rows, np.zeros(len(rows), np.int64), s.size[rows] - length, least[rows])]
+    # anchors with several slices: sort the strings of all windows of their different slices, whole anchors at a time
+    several = np.flatnonzero(variants[of_key] > 1)
+    several = several[np.argsort(of_key[several], kind="stable")]
+    windows = s.size[head[several]] - length + 1
+    edge = np.r_[True, of_key[several][1:] != of_key[several][:-1]] if len(several) else np.zeros(0, bool)
+    turn = (np.cumsum(windows) // most)[np.maximum.accumulate(np.where(edge, np.arange(len(several)), 0))] if len(several) else np.zeros(0, np.int64)
+    found = []
+    for t in np.unique(turn):
+        mine, k = several[turn == t], windows[turn == t]
+        owner = np.repeat(head[mine], k)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(k) - k, k)
+        offsets = [*range(0, length - 8, 8), length - 8]
+        order, group = multikey_sort(np.column_stack([s.key[owner], characters(data, base[owner] + at, offsets)]))
+        best = np.full(len(owner), repeats.NO_ID)
+        np.minimum.at(best, group, least[owner[order]])
+        least_of = np.empty(len(owner), np.int64)
+        least_of[order] = best[group]
+        cut = np.flatnonzero(np.r_[True, (least_of[1:] != least_of[:-1]) | (owner[1:] != owner[:-1])])
+        last = np.r_[cut[1:], len(owner)] - 1
+        found.append((np.repeat(mine, k)[cut], at[cut], at[last], least_of[cut]))
+    if found:
+        of, first, last, best = (np.concatenate(x) for x in zip(*found))
+        by = np.argsort(of, kind="stable")
+        of, first, last, best = of[by], first[by], last[by], best[by]
+        rows = np.flatnonzero(~alone)
+        lo, hi = np.searchsorted(of, of_head[rows], "left"), np.searchsorted(of, of_head[rows], "right")
+        row = np.repeat(rows, hi - lo)
+        pick = np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo) + np.arange(len(row))
+        use = best[pick] < s.high[row]
+        out.append((row[use], first[pick][use], last[pick][use], best[pick][use]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def answers_of(rows: pd.DataFrame, length: int = LENGTH) -> pd.DataFrame:
+    """Answers of one bucket: rows ``chunk, blob`` in, one binary of intervals a chunk out."""
+    parts = [Slices.unpacked(b) for b in rows["blob"]]
+    s = Slices(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("key", "low", "high", "size", "text", "count", "place")))
+    chunk = np.repeat(rows["chunk"].to_numpy(np.int64), [len(p.key) for p in parts])
+    row, first, last, least = decide(s, length)
+    n = s.count[row]
+    place = s.place[ranges(s.count, row)]
+    data = np.empty(len(place), repeats.ANSWER)
+    data["first"], data["last"], data["least"] = place + np.repeat(first, n), place + np.repeat(last, n), np.repeat(least, n)
+    owner = np.repeat(chunk[row], n)
+    order = np.argsort(owner, kind="stable")
+    data, owner = data[order], owner[order]
+    cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, np.int64)
+    return pd.DataFrame({"chunk": owner[cut[:-1]], "answer": [zstandard.ZstdCompressor(level=1).compress(data[x:y].tobytes()) for x, y in zip(cut, cut[1:])]})
 
 
 def removed(chunk: Chunk, answer: np.ndarray, length: int = LENGTH) -> list[tuple[np.ndarray, bytes]]:
@@ -121,14 +233,41 @@ OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed",
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bool = True) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and the ``kept`` bytes)."""
     kind = Kind(length, gram, False)
-    table = repeats.chunks(docs)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.withColumn("sha", F.sha2("text", 256))
+    first = written(texts.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL")
+                    .select(F.col("sha").alias("_sha"), "first"), "firsts")
+    marked = texts.join(sized(first), F.col("sha") == F.col("_sha"), "left")
+    # every string of a copy starts in the earliest document with its text as well
+    copy = F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull())
+    n = F.octet_length("text").cast("long")
+    whole = n >= length
+    none = F.lit(0).cast("long")
+    copies = marked.where(copy).select(
+        "doc_id", n.alias("n_bytes"), F.when(whole, n).otherwise(none).alias("n_removed"), F.when(whole, F.lit(1).cast("long")).otherwise(none).alias("n_spans"),
+        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("kept_sha256"),
+        F.when(whole, F.lit("")).otherwise(F.col("text")).cast("binary").alias("kept"))
+
+    table = repeats.chunks(marked.where(~copy).select("doc_id", "text"))
+    total = table.agg(F.sum("n_bytes")).first()[0] or 0
     masks, buckets = repeats.repeated_anchors(table, kind)
-    suffixes = repeats.slices(table, masks, buckets, kind).repartitionByRange("lead")
+    parts = max(32, -(-total // PART))
+    splitters = sampled_splitters(table, kind, parts)
+    schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("blob", pa.binary())])
 
-    def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from repeats.answer_rows(decide(repeats.gathered(batches), length))
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, data, m in zip(batch.column("chunk").to_pylist(), batch.column("data"), batch.column("masks").to_pylist()):
+                s, lead = chunk_slices(Chunk.unpacked(data.as_py()), m, buckets, kind)
+                part = np.searchsorted(splitters, (lead ^ np.uint64(1 << 63)).view(np.int64), side="right")
+                rows = []
+                for p in np.unique(part):
+                    rows.append((int(p), c, s.take(np.flatnonzero(part == p)).packed()))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
 
-    answers = written(map_batches(suffixes, bucket, "chunk long, answer binary"), "answers")
+    suffixes = map_batches(table.select("chunk", "data").join(masks, "chunk"), send, "part int, chunk long, blob binary")
+    answers = written(suffixes.groupBy("part").applyInPandas(lambda rows: answers_of(rows, length), "chunk long, answer binary"), "answers")
 
     def apply(chunk: Chunk, answer: np.ndarray) -> list[tuple]:
         rows = []
@@ -139,4 +278,5 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bo
         return rows
 
     out = repeats.answered(table, answers, apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary", OUT)
+    out = out.union(copies)
     return out if with_kept else out.drop("kept")
