@@ -7,6 +7,7 @@ import tempfile
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -32,6 +33,8 @@ def test_units_give_the_tokenizers_ids(path, units):
     t, e = Tokenizer.from_file(path), tokens.Encoder(path, units)
     t.encode_special_tokens = True
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(5000)]
+    texts += ["".join(rng.choice("abeiostz Éßüàÿ.,%") for _ in range(rng.randrange(60))) for _ in range(5000)]
+    texts += [r[0] for r in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet' where text is not null").fetchall()]
     for x, r in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(e.encode(x), "<u4").tolist() == r.ids, x
 

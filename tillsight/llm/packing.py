@@ -163,8 +163,8 @@ def tokenized(docs: DataFrame, path: str, units: str, end_id: int, length: int =
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 batch, rows = whole.slice(lo, 256), []
-                for t in batch.column("text"):
-                    ids = e.encode(t.as_py() or "") + end
+                for ids in e.encode_all([t or "" for t in batch.column("text").to_pylist()]):
+                    ids += end
                     n = len(ids) // 4
                     c = -(-(n % length) // grain)
                     rows.append((n, ids, part, c, rank[c], full))

@@ -138,9 +138,10 @@ def write_shards(docs: DataFrame, folder: str, path: str, units: str = "words",
                 f.write(data)
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((part, seq, name, len(docs_in), size), schema)], schema=schema)
 
-        for batch in batches:
-            for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                got = e.encode(t.as_py() or "") + end
+        slices = (whole.slice(lo, 256) for whole in batches for lo in range(0, whole.num_rows, 256))
+        for batch in slices:
+            for d, got in zip(batch.column("doc_id").to_pylist(), e.encode_all([t or "" for t in batch.column("text").to_pylist()])):
+                got += end
                 ids.append(got)
                 docs_in.append(d)
                 counts.append(len(got) // 4)

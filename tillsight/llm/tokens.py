@@ -20,48 +20,88 @@ import numpy as np
 # Unicode white space as the tokenizers' patterns know it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 BLANKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
-#: Units in each of the cache's two generations, and the longest unit that is kept.
-CACHED, KEPT = 250_000, 64
+# Punctuation that both patterns separate from a letter before it (no apostrophe: contractions).
+MARKS = '.,;:!?*$%#&"()[]{}<>/=+-_|~^@'
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+LATIN, ONE_PIECE = re.compile(f"[{LETTERS}]+"), re.compile(f" ?[{LETTERS}]+")
+#: Units in each of the cache's two generations, words without marks that are kept, and the longest unit kept.
+CACHED, CORES, KEPT = 200_000, 600_000, 64
 
 
 class Encoder:
     def __init__(self, path: str, units: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
-        self.cut = (lambda t: t.encode().split()) if units == "words" else BLANKS.findall
+        self.words = units == "words"
+        self.cut = (lambda t: t.encode().split()) if self.words else BLANKS.findall
+        # a blank and Latin letters as the byte-level step writes them
+        bare = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        simple = [c for c in " " + "".join(map(chr, range(256))) if c == " " or LATIN.fullmatch(c)]
+        self.letters = {ord(c): bare.pre_tokenize_str(c)[0][0] for c in simple}
         self.young: dict = {}
         self.old: dict = {}
+        self.cores: dict = {}
+
+    def _parts(self, unit) -> tuple[str, str]:
+        """A unit as a core and the marks after it, apart only where the pattern always separates them (after a Latin
+        letter, up to the unit's end); Latin cores in lower case where the tokenizer itself lowers them."""
+        text = unit.decode() if self.words else unit
+        core = text.rstrip(MARKS)
+        if len(core) == len(text) or not LATIN.match(core[-1:]):
+            core = text
+        marks = text[len(core):]
+        return (core.lower() if self.words and LATIN.fullmatch(core) else core), marks
 
     def _learn(self, units: set) -> dict:
         """Ids (little-endian unsigned 32-bit) of units that the young generation lacks."""
-        out, new = {}, []
+        out, apart = {}, {}
         for u in units:
             ids = self.old.get(u)
             if ids is None:
-                new.append(u)
+                apart[u] = self._parts(u)
             else:
                 out[u] = ids
+        if len(self.cores) > CORES:
+            self.cores = {}
+        known = self.cores
+        new, fresh = [], {}
+        tokenize = self.tokenizer.model.tokenize
+        for x in {x for p in apart.values() for x in p if x and x not in known}:
+            # Latin letters (words: lower case) are one piece that normalizers leave as it is: the model alone does
+            if (self.words and LATIN.fullmatch(x) and x.islower()) or (not self.words and ONE_PIECE.fullmatch(x)):
+                fresh[x] = np.array([t.id for t in tokenize(x.translate(self.letters))], "<u4").tobytes()
+            else:
+                new.append(x)
         for lo in range(0, len(new), 4096):
             part = new[lo:lo + 4096]
-            texts = [u.decode() if isinstance(u, bytes) else u for u in part]
-            for u, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                out[u] = np.array(e.ids, "<u4").tobytes()
+            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                fresh[x] = np.array(e.ids, "<u4").tobytes()
+        known.update((x, i) for x, i in fresh.items() if len(x) <= KEPT)
+        for u, (core, marks) in apart.items():
+            a, b = fresh.get(core), fresh.get(marks, b"")
+            out[u] = (known[core] if a is None else a) + (b or (known[marks] if marks else b""))
         if len(self.young) + len(out) > CACHED:
             self.old, self.young = self.young, {}
         self.young.update((u, i) for u, i in out.items() if len(u) <= KEPT)
         return out
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text; unknown units of all texts are learnt together."""
+        cut = [self.cut(t) for t in texts]
+        missing = set().union(*cut).difference(self.young)
+        known, learnt = self.young, self._learn(missing) if missing else {}
+        out = []
+        for units in cut:
+            try:
+                out.append(b"".join(map(known.__getitem__, units)))
+            except KeyError:  # units too long to keep, or a generation that ended just now
+                out.append(b"".join([learnt[u] if u in learnt else known[u] for u in units]))
+        return out
+
     def encode(self, text: str) -> bytes:
-        units = self.cut(text)
-        try:
-            return b"".join(map(self.young.__getitem__, units))
-        except KeyError:
-            known = self.young
-            learnt = self._learn({u for u in units if u not in known})
-            known = self.young if known is self.young else {**known, **learnt}
-            return b"".join([learnt[u] if u in learnt else known[u] for u in units])
+        return self.encode_all([text])[0]
 
 
 @lru_cache(maxsize=4)
