@@ -40,6 +40,15 @@ def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+#: Bytes of a binary column up to which its written table is broadcast.
+BROADCAST_BYTES = 64_000_000
+
+
+def small(df: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a binary column of a *written* table sums to at most ``limit`` bytes, so that it may be broadcast."""
+    return (df.agg(F.sum(F.octet_length(column))).first()[0] or 0) <= limit
+
+
 def words_of(text: Column) -> Column:
     """Words of a text between the contract's separators; a null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")

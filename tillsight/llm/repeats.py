@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ship, written
+from .common import map_batches, small, written
 from .shingling import mix, window_hashes, word_hashes
 
 CHUNK, SEGMENT, BUCKET = 2_000_000, 1 << 16, 24_000_000
@@ -213,8 +213,9 @@ def repeated_anchors(table: DataFrame, kind: Kind) -> tuple[DataFrame, int]:
         return pd.DataFrame(out, columns=["chunk", "bucket", "mask"])
 
     sent = map_batches(table.select("chunk", "data"), send, "bucket long, chunk long, keys binary, many binary")
-    masks = sent.groupBy("bucket").applyInPandas(meet, "chunk long, bucket long, mask binary")
-    return written(masks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks")), "masks"), buckets
+    masks = written(sent.groupBy("bucket").applyInPandas(meet, "chunk long, bucket long, mask binary"), "masks")
+    by_chunk = masks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks"))
+    return (F.broadcast(by_chunk) if small(masks, "mask") else by_chunk), buckets
 
 
 def repeated_runs(chunk: Chunk, masks: list[dict], buckets: int, kind: Kind) -> tuple[np.ndarray, Runs]:
@@ -259,7 +260,7 @@ def slices(table: DataFrame, masks: DataFrame, buckets: int, kind: Kind) -> Data
                 for lo in range(0, len(rows), 20_000):
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows[lo:lo + 20_000]), SLICES)], schema=SLICES)
 
-    return written(map_batches(table.select("chunk", "data").join(masks, "chunk"), run, SLICE), "slices")
+    return map_batches(table.select("chunk", "data").join(masks, "chunk"), run, SLICE)
 
 
 ANSWER = np.dtype([("first", "<i8"), ("last", "<i8"), ("least", "<i8")])
@@ -282,6 +283,7 @@ def answer_rows(found: pd.DataFrame) -> Iterator[pa.RecordBatch]:
 def answered(table: DataFrame, answers: DataFrame, apply: Callable[[Chunk, np.ndarray], list[tuple]], names: str, schema: pa.Schema) -> DataFrame:
     """``apply`` on every chunk with all its answers: rows for its documents."""
     gathered = answers.groupBy("chunk").agg(F.collect_list("answer").alias("answers"))
+    gathered = F.broadcast(gathered) if small(answers, "answer") else gathered
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
