@@ -13,10 +13,9 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import lru_cache
 
-import numpy as np
-
 # Unicode white space as the tokenizers' patterns know it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 BLANKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
@@ -25,7 +24,12 @@ MARKS = '.,;:!?*$%#&"()[]{}<>/=+-_|~^@'
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 LATIN, ONE_PIECE = re.compile(f"[{LETTERS}]+"), re.compile(f" ?[{LETTERS}]+")
 #: Units in each of the cache's two generations, words without marks that are kept, and the longest unit kept.
-CACHED, CORES, KEPT = 200_000, 600_000, 64
+CACHED, CORES, KEPT = 350_000, 1_000_000, 64
+
+
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids; much cheaper than an array object for the few ids of a word."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
@@ -71,13 +75,13 @@ class Encoder:
         for x in {x for p in apart.values() for x in p if x and x not in known}:
             # Latin letters (words: lower case) are one piece that normalizers leave as it is: the model alone does
             if (self.words and LATIN.fullmatch(x) and x.islower()) or (not self.words and ONE_PIECE.fullmatch(x)):
-                fresh[x] = np.array([t.id for t in tokenize(x.translate(self.letters))], "<u4").tobytes()
+                fresh[x] = packed([t.id for t in tokenize(x.translate(self.letters))])
             else:
                 new.append(x)
         for lo in range(0, len(new), 4096):
             part = new[lo:lo + 4096]
             for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                fresh[x] = np.array(e.ids, "<u4").tobytes()
+                fresh[x] = packed(e.ids)
         known.update((x, i) for x, i in fresh.items() if len(x) <= KEPT)
         for u, (core, marks) in apart.items():
             a, b = fresh.get(core), fresh.get(marks, b"")
