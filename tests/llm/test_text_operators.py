@@ -5,10 +5,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tillsight.llm import components, decontaminate, ngram_join, phrase_dedup, pii, quality_rules, suffix_dedup
+from tillsight.llm import components, decontaminate, ngram_join, phrase_dedup, pii, quality_rules, repeats, suffix_dedup
 from tillsight.llm.common import written
 
 from . import brute
@@ -194,5 +195,50 @@ def test_phrase_dedup(docs, rows, no_docs):
     assert phrase_dedup.dedup(no_docs).count() == 0
 
 
+def shared_passage(spark):
+    """400 documents with one passage in different texts, some of them with the same left side."""
+    rng = random.Random(21)
+    passage = " ".join(f"licence{k}" for k in range(45))
+    left = [" ".join(f"w{rng.randrange(400)}" for _ in range(40)) for _ in range(390)]
+    rows = [(k, f"{left[k % 390]} {passage} " + " ".join(f"w{rng.randrange(400)}" for _ in range(40))) for k in range(400)]
+    rows += [(None, rows[0][1]), (3, rows[5][1])]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+@pytest.mark.parametrize("kind", [repeats.Kind(50, 16, False), repeats.Kind(35, 8, True)])
+def test_no_task_holds_all_contexts_of_an_anchor(spark, kind):
+    table = repeats.chunks(shared_passage(spark)[1])
+    masks, buckets, many = repeats.repeated_anchors(table, kind, most=30)
+    held = repeats.slices(table, masks, buckets, kind).groupBy("key").count()
+    assert many and held.agg(F.max("count")).first()[0] <= 30
+    masks, buckets, many = repeats.repeated_anchors(table, kind)
+    assert not many and repeats.slices(table, masks, buckets, kind).groupBy("key").count().agg(F.max("count")).first()[0] > 300
+
+
+@pytest.mark.parametrize("most", [0, 30])
+def test_dedup_of_anchors_with_many_contexts(spark, most):
+    rows, docs = shared_passage(spark)
+    want = [(i, len(b), sum(gone), hashlib.sha256(bytes(c for c, g in zip(b, gone) if not g)).hexdigest())
+            for (i, _), (b, gone) in zip(rows, brute.bytes_removed(rows))]
+    assert bag(map(tuple, suffix_dedup.dedup(docs, with_kept=False, most=most).drop("n_spans").collect())) == bag(want)
+    want = [(i, len(w), sum(gone), hashlib.sha256(b" ".join(x for x, g in zip(w, gone) if not g)).hexdigest())
+            for (i, _), (w, gone) in zip(rows, brute.words_removed(rows))]
+    assert bag(map(tuple, phrase_dedup.dedup(docs, with_kept=False, most=most).collect())) == bag(want)
+
+
+def test_anchors_with_equal_leading_bytes_are_parted():
+    data = np.frombuffer(b"".join(b"        %08d" % k for k in range(100)) + b"\0" * 100, np.uint8)
+    lead = suffix_dedup.leads(data, np.arange(100) * 16)
+    assert len(np.unique(np.searchsorted(lead[[25, 50, 75]], lead, side="right"))) == 4
+
+
+def test_turns_keep_keys_whole():
+    keys = sorted([1] * 5 + [2] * 30 + [3] + [4] * 7 + [5] * 2)
+    batches = [pa.RecordBatch.from_pydict({"key": keys[k:k + 4]}) for k in range(0, len(keys), 4)]
+    got = [t["key"].tolist() for t in repeats.turns(batches, 6)]
+    assert sum(got, []) == keys and len(got) > 1
+    assert all(not set(a) & set(b) for a, b in zip(got, got[1:]))
+
+
 def test_written_keeps_rows(docs, rows):
     assert written(docs, "t").agg(F.count("*")).first()[0] == len(rows)

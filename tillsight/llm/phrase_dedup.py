@@ -5,7 +5,8 @@ A shard confirms which windows really occur more than once, joins neighbouring o
 phrases into one Aho-Corasick automaton over word numbers (pyahocorasick), and streams the passages of all
 documents that lead to this shard through it to locate every occurrence. Shards hold different anchors, so
 every document passes exactly the automata whose phrases can occur in it. A passage that many documents share
-is one row a chunk with its count.
+is one row a chunk with its count. A task takes its anchors in bounded turns; the windows of an anchor with more
+passages than a task may hold meet in an aggregate of Spark instead (``repeats.window_answers``).
 
 Windows are judged on the input and never cross documents. Edge cases: null texts have no words; texts below
 ``LENGTH`` words lose nothing; repeated rows are different places, whatever their id; extra columns are ignored.
@@ -28,6 +29,8 @@ from .common import map_batches, written
 from .repeats import Chunk, Kind
 
 LENGTH, GRAM = 35, 8
+#: Passages that a task holds at a time, besides those of one anchor.
+TURN = 50_000
 
 
 def confirmed(passages: dict[tuple, int], length: int = LENGTH) -> set[tuple]:
@@ -83,17 +86,19 @@ def locate(rows: pd.DataFrame, length: int = LENGTH) -> pd.DataFrame:
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bool = True) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bool = True, most: int = repeats.MANY) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` (and the ``kept`` words joined by blanks)."""
     kind = Kind(length, gram, True)
     table = repeats.chunks(docs)
-    masks, buckets = repeats.repeated_anchors(table, kind)
-    passages = repeats.slices(table, masks, buckets, kind).repartition("key")
+    masks, buckets, many = repeats.repeated_anchors(table, kind, most)
+    passages = repeats.slices(table, masks, buckets, kind).repartition("key").sortWithinPartitions("key")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from repeats.answer_rows(locate(repeats.gathered(batches), length))
+        for rows in repeats.turns(batches, TURN):
+            yield from repeats.answer_rows(locate(rows, length))
 
-    answers = written(map_batches(passages, shard, "chunk long, answer binary"), "answers")
+    answers = map_batches(passages, shard, "chunk long, answer binary")
+    answers = written(answers.union(repeats.window_answers(table, masks, buckets, kind)) if many else answers, "answers")
 
     def apply(chunk: Chunk, answer: np.ndarray) -> list[tuple]:
         words = [t.split() for t in chunk.texts]

@@ -11,7 +11,9 @@ does. Neighbouring windows mostly share an anchor; such a run of windows is hand
    documents share sends one hash a chunk.
 2. ``slices``: each chunk sends the text of its runs at repeated anchors, equal slices once, with the places.
    The operators decide with these exact strings which windows repeat and answer with intervals of places.
-3. ``answered``: every chunk gets its intervals back and applies them to its documents.
+3. ``window_answers``: anchors with more than ``MANY`` slices (counted once a chunk in step 1) are in no slice of
+   step 2; each chunk sends their different windows, and Spark aggregates the exact strings.
+4. ``answered``: every chunk gets its intervals back and applies them to its documents.
 
 The hashes of step 1 only select; a chance collision costs work, not correctness.
 """
@@ -34,6 +36,8 @@ from .common import map_batches, small, written
 from .shingling import mix, window_hashes, word_hashes
 
 CHUNK, SEGMENT, BUCKET = 2_000_000, 1 << 16, 24_000_000
+#: Slices of one anchor (equal ones of a chunk once) that one task may hold; beyond them Spark aggregates its windows.
+MANY = 10_000
 #: Documents without an id come after all others.
 NO_ID = 2**63 - 1
 
@@ -171,23 +175,53 @@ def distinct_keys(r: Runs, order: np.ndarray, kind: Kind) -> tuple[np.ndarray, n
     return keys, lo < hi
 
 
+def marks(sym: np.ndarray, first: np.ndarray, size: np.ndarray, key: np.ndarray, kind: Kind) -> np.ndarray:
+    """Hashes of anchor and whole slice, to hold equal slices of the chunk once."""
+    step = 1 if kind.words else 8
+    each = sym if kind.words or not len(size) else np.ndarray((len(sym) - 7,), "<u8", np.ascontiguousarray(sym), strides=(1,))
+    mark = key ^ size.astype(np.uint64)
+    for o in range(0, int(size.max()) if len(size) else 0, step):
+        part = each[first + np.minimum(o, size - step)]
+        mark = np.where(o < size, mix(mark * np.uint64(0x9E3779B97F4A7C15) + part), mark)
+    return mark
+
+
+def variants(sym: np.ndarray, r: Runs, keys: np.ndarray, kind: Kind) -> np.ndarray:
+    """How many different slices each of the sorted distinct ``keys`` has in the chunk."""
+    where = np.searchsorted(keys, r.key)
+    out = np.bincount(where, minlength=len(keys))
+    rows = np.flatnonzero(out[where] > 1)
+    _, first = np.unique(marks(sym, r.first[rows], (r.last - r.first)[rows] + kind.length, r.key[rows], kind), return_index=True)
+    several = np.bincount(where[rows][first], minlength=len(keys))
+    return np.where(out > 1, several, out)
+
+
 def order_of(chunk: Chunk) -> np.ndarray:
     return np.array([NO_ID if i is None else i for i in chunk.ids], np.int64)
 
 
-def repeated_anchors(table: DataFrame, kind: Kind) -> tuple[DataFrame, int]:
-    """``chunk, masks``: for each bucket one bit for each of the chunk's keys there (a written table), and the buckets."""
+def repeated_anchors(table: DataFrame, kind: Kind, most: int = MANY) -> tuple[DataFrame, int, bool]:
+    """``chunk, masks``: for each bucket one bit for each of the chunk's keys there (a written table), and one more if any
+    has more than ``most`` slices; the buckets; and whether any key has."""
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(16, -(-total // BUCKET))
-    schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("many", pa.binary())])
+    schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("many", pa.binary()),
+                        ("several", pa.binary())])
+
+    def several(n: np.ndarray) -> bytes:
+        at = np.flatnonzero(n > 1)
+        return np.concatenate([at, n[at]]).astype("<u4").tobytes()
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c, data in zip(batch.column("chunk").to_pylist(), batch.column("data")):
                 chunk = Chunk.unpacked(data.as_py())
-                keys, many = distinct_keys(runs(*symbols(chunk, kind), kind), order_of(chunk), kind)
+                sym, counts = symbols(chunk, kind)
+                r = runs(sym, counts, kind)
+                keys, many = distinct_keys(r, order_of(chunk), kind)
+                n = variants(sym, r, keys, kind)
                 cut = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-                rows = [(b, c, keys[x:y].tobytes(), np.packbits(many[x:y]).tobytes()) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
+                rows = [(b, c, keys[x:y].tobytes(), np.packbits(many[x:y]).tobytes(), several(n[x:y])) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -205,21 +239,30 @@ def repeated_anchors(table: DataFrame, kind: Kind) -> tuple[DataFrame, int]:
         twice[:-1] |= same
         seen = many.copy()
         seen[order] |= twice
+        number, at = np.ones(len(keys), np.int64), 0
+        for more, n in zip(rows["several"], sizes):
+            place, count = np.frombuffer(more, "<u4").reshape(2, -1)
+            number[at + place.astype(np.int64)] = count
+            at += n
+        head = np.flatnonzero(np.r_[True, ~same])
+        hot = np.empty(len(keys), bool)
+        hot[order] = np.repeat(np.add.reduceat(number[order], head) > most, np.diff(np.r_[head, len(s)]))
+        hot &= seen
         out, at = [], 0
         for b, c, n in zip(rows["bucket"], rows["chunk"], sizes):
             if seen[at:at + n].any():
-                out.append((c, b, np.packbits(seen[at:at + n]).tobytes()))
+                out.append((c, b, np.packbits(seen[at:at + n]).tobytes(), np.packbits(hot[at:at + n]).tobytes() if hot[at:at + n].any() else None))
             at += n
-        return pd.DataFrame(out, columns=["chunk", "bucket", "mask"])
+        return pd.DataFrame(out, columns=["chunk", "bucket", "mask", "hot"])
 
-    sent = map_batches(table.select("chunk", "data"), send, "bucket long, chunk long, keys binary, many binary")
-    masks = written(sent.groupBy("bucket").applyInPandas(meet, "chunk long, bucket long, mask binary"), "masks")
-    by_chunk = masks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks"))
-    return (F.broadcast(by_chunk) if small(masks, "mask") else by_chunk), buckets
+    sent = map_batches(table.select("chunk", "data"), send, "bucket long, chunk long, keys binary, many binary, several binary")
+    masks = written(sent.groupBy("bucket").applyInPandas(meet, "chunk long, bucket long, mask binary, hot binary"), "masks")
+    by_chunk = masks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "mask", "hot")).alias("masks"))
+    return (F.broadcast(by_chunk) if small(masks, "mask") else by_chunk), buckets, not masks.where("hot IS NOT NULL").isEmpty()
 
 
-def repeated_runs(chunk: Chunk, masks: list[dict], buckets: int, kind: Kind) -> tuple[np.ndarray, Runs]:
-    """The chunk's symbols' counts and its runs at repeated anchors."""
+def repeated_runs(chunk: Chunk, masks: list[dict], buckets: int, kind: Kind, hot: bool = False) -> tuple[np.ndarray, Runs]:
+    """The chunk's symbols and its runs at repeated anchors: those with more slices than a task may hold, or all others."""
     sym, counts = symbols(chunk, kind)
     r = runs(sym, counts, kind)
     keys, where = np.unique(r.key, return_inverse=True)
@@ -227,9 +270,10 @@ def repeated_runs(chunk: Chunk, masks: list[dict], buckets: int, kind: Kind) ->
     on = np.zeros(len(keys), bool)
     for m in masks:
         x, y = cut[m["bucket"]], cut[m["bucket"] + 1]
-        on[x:y] = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=y - x)
+        many = np.unpackbits(np.frombuffer(m["hot"], np.uint8), count=y - x).astype(bool) if m["hot"] else np.zeros(y - x, bool)
+        on[x:y] = many if hot else np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=y - x).astype(bool) & ~many
     keep = on[where]
-    return counts, Runs(*(x[keep] for x in (r.first, r.last, r.anchor, r.key, r.doc)))
+    return sym, Runs(*(x[keep] for x in (r.first, r.last, r.anchor, r.key, r.doc)))
 
 
 SLICE = "lead long, key long, chunk long, low long, high long, places binary, slice binary"
@@ -263,6 +307,53 @@ def slices(table: DataFrame, masks: DataFrame, buckets: int, kind: Kind) -> Data
     return map_batches(table.select("chunk", "data").join(masks, "chunk"), run, SLICE)
 
 
+def window_answers(table: DataFrame, masks: DataFrame, buckets: int, kind: Kind) -> DataFrame:
+    """``chunk, answer`` for the anchors with more slices than a task may hold: each chunk sends its different windows
+    there with their least and largest document and their places, and equal strings meet in an aggregate of Spark."""
+    schema = pa.schema([("chunk", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("places", pa.binary()), ("window", pa.binary())])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, data, m in zip(batch.column("chunk").to_pylist(), batch.column("data"), batch.column("masks").to_pylist()):
+                if not any(x["hot"] for x in m):
+                    continue
+                chunk, found = Chunk.unpacked(data.as_py()), {}
+                _, r = repeated_runs(chunk, m, buckets, kind, hot=True)
+                flat = [w for t in chunk.texts for w in t.split()] if kind.words else b"".join(chunk.texts)
+                n = r.last - r.first + 1
+                start = np.repeat(r.first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                doc = order_of(chunk)[np.repeat(r.doc, n)]
+                strings = (b" ".join(flat[a:a + kind.length]) if kind.words else flat[a:a + kind.length] for a in start.tolist())
+                where = np.fromiter((found.setdefault(w, len(found)) for w in strings), np.int64, len(start))
+                low, high = np.full(len(found), NO_ID), np.full(len(found), -2**63)
+                np.minimum.at(low, where, doc)
+                np.maximum.at(high, where, doc)
+                places = start[np.argsort(where, kind="stable")].astype("<i8")
+                ends, windows = np.cumsum(np.bincount(where, minlength=len(found))), list(found)
+                for lo in range(0, len(windows), 20_000):
+                    hi = min(lo + 20_000, len(windows))
+                    at = [places[x:y].tobytes() for x, y in zip(np.r_[0, ends][lo:hi], ends[lo:hi])]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(([c] * (hi - lo), low[lo:hi], high[lo:hi], at, windows[lo:hi]), schema)], schema=schema)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [np.frombuffer(p, "<i8") for p in batch.column("places").to_pylist()]
+            if at:
+                n, first = [len(p) for p in at], np.concatenate(at)
+                c, least = (np.repeat(batch.column(k).to_numpy(), n) for k in ("chunk", "least"))
+                yield from answer_rows(pd.DataFrame({"chunk": c, "first": first, "last": first, "least": least}))
+
+    windows = written(map_batches(table.select("chunk", "data").join(masks, "chunk"), send, "chunk long, low long, high long, places binary, window binary"), "windows")
+    if kind.words:
+        again = windows.groupBy("window").agg(F.sum(F.octet_length("places")).alias("n")).where("n > 8").select("window", F.lit(0).cast("long").alias("least"))
+        found = windows.join(again, "window")
+    else:
+        again = windows.groupBy("window").agg(F.min("low").alias("least"), F.max("high").alias("last")).where("least < last").select("window", "least")
+        found = windows.join(again, "window").where("high > least")
+    found = found.select("chunk", "places", "least").repartition("chunk").sortWithinPartitions("chunk")
+    return map_batches(found, answer, "chunk long, answer binary")
+
+
 ANSWER = np.dtype([("first", "<i8"), ("last", "<i8"), ("least", "<i8")])
 
 
@@ -294,7 +385,18 @@ def answered(table: DataFrame, answers: DataFrame, apply: Callable[[Chunk, np.nd
     return map_batches(table.select("chunk", "data").join(gathered, "chunk", "left"), run, names)
 
 
-def gathered(batches: Iterator[pa.RecordBatch]) -> pd.DataFrame:
-    """All rows of a partition."""
-    tables = [b.to_pandas() for b in batches if b.num_rows]
-    return pd.concat(tables, ignore_index=True) if tables else pd.DataFrame(columns=[f.name for f in SLICES])
+def turns(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pd.DataFrame]:
+    """The rows of a partition that is sorted by key, whole keys at a time, about ``most`` rows a turn."""
+    held, n = [], 0
+    for batch in batches:
+        rows = batch.to_pandas()
+        if n >= most:
+            new = np.flatnonzero(rows["key"].to_numpy() != held[-1]["key"].iloc[-1])
+            if len(new):
+                yield pd.concat([*held, rows.iloc[:new[0]]], ignore_index=True)
+                held, n, rows = [], 0, rows.iloc[new[0]:]
+        if len(rows):
+            held.append(rows)
+            n += len(rows)
+    if held:
+        yield pd.concat(held, ignore_index=True)

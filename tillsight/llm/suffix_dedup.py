@@ -1,12 +1,12 @@
 """Suffix-array dedup: removes bytes under ``LENGTH``-byte strings that also start in an earlier document.
 
 Suffixes that may repeat (``repeats``: windows whose anchor string occurs in several documents) are sorted in
-a partial suffix array: Spark samples splitters and range-partitions the suffixes by their leading bytes from
-the anchor on; every bucket sorts its strings with multikey quicksort on eight-byte characters. Splitters lie
-between different leading bytes, so equal strings meet in one bucket and no run of equals crosses a boundary.
+a partial suffix array: Spark samples splitters and range-partitions the suffixes by their anchor strings; every bucket sorts its strings with multikey quicksort on eight-byte characters. Splitters lie
+between different anchor strings, so equal strings meet in one bucket and no run of equals crosses a boundary.
 Equal strings are neighbours after the sort; the least document of a run decides for all of them.
 A slice of text that many documents share is held once a chunk, however many copies the chunk has, and exact
-copies of whole documents are settled before: all their strings start in the earliest of them.
+copies of whole documents are settled before: all their strings start in the earliest of them. Windows of an
+anchor with more slices than a task may hold meet in an aggregate of Spark instead (``repeats.window_answers``).
 
 Matches are judged on the input, never cross documents, and overlaps count. Edge cases: null texts are empty;
 texts shorter than ``LENGTH`` bytes lose nothing; documents without an id come after all others and do not
@@ -30,17 +30,22 @@ from pyspark.sql import functions as F
 from . import repeats
 from .common import map_batches, sized, written
 from .repeats import Chunk, Kind
-from .shingling import mix
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text for each bucket of suffixes, and chunks that the splitters are sampled from at most.
 PART, SAMPLE_CHUNKS = 6_000_000, 32
 
 
-def characters(data: np.ndarray, starts: np.ndarray, offsets) -> np.ndarray:
-    """Big-endian eight-byte characters of ``data`` at every start plus each of the offsets, a column an offset."""
+def characters(data: np.ndarray, starts: np.ndarray, offsets, before: tuple = ()) -> np.ndarray:
+    """Big-endian eight-byte characters of ``data`` at every start plus each of the offsets, a column an offset, after
+    the columns ``before``."""
     eight = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
-    return np.column_stack([eight[starts + o].astype(np.uint64) for o in offsets])
+    out = np.empty((len(starts), len(before) + len(offsets)), np.uint64, "F")
+    for k, column in enumerate(before):
+        out[:, k] = column
+    for k, o in enumerate(offsets, len(before)):
+        out[:, k] = eight[starts + o]
+    return out
 
 
 def multikey_sort(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,6 +102,11 @@ class Slices:
         return Slices(key, low, high, size.astype(np.int64), text, count.astype(np.int64), place)
 
 
+def leads(data: np.ndarray, anchors: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """The anchor strings at the given places, comparable as bytes."""
+    return np.ndarray((len(data) - gram + 1,), f"S{gram}", data, strides=(1,))[anchors]
+
+
 def ranges(sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Indices of the elements of the given rows in an array that holds ``sizes`` elements a row, row after row."""
     begin, n = (np.cumsum(sizes) - sizes)[rows], sizes[rows]
@@ -104,42 +114,37 @@ def ranges(sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def chunk_slices(chunk: Chunk, masks: list[dict], buckets: int, kind: Kind) -> tuple[Slices, np.ndarray]:
-    """The chunk's different slices at repeated anchors, and the bytes from the anchor on that lead each of them."""
-    _, r = repeats.repeated_runs(chunk, masks, buckets, kind)
-    data = np.frombuffer(b"".join(chunk.texts) + b"\0" * (2 * kind.length), np.uint8)
-    size = r.last - r.first + kind.length
-    width = int(size.max()) if len(size) else 0
-    mark = r.key ^ size.astype(np.uint64)  # a hash of anchor and whole slice, to hold equal slices of the chunk once
-    for o in range(0, width, 8):
-        part = characters(data, r.first + np.minimum(o, size - 8), [0])[:, 0]
-        mark = np.where(o < size, mix(mark * np.uint64(0x9E3779B97F4A7C15) + part), mark)
-    _, first, where, count = np.unique(mark, return_index=True, return_inverse=True, return_counts=True)
+    """The chunk's different slices at repeated anchors, and the anchor string of each of them."""
+    sym, r = repeats.repeated_runs(chunk, masks, buckets, kind)
+    raw = b"".join(chunk.texts) + b"\0" * (2 * kind.length)
+    data, size = np.frombuffer(raw, np.uint8), r.last - r.first + kind.length
+    _, first, where, count = np.unique(repeats.marks(sym, r.first, size, r.key, kind), return_index=True, return_inverse=True, return_counts=True)
     doc = repeats.order_of(chunk)[r.doc] if len(chunk.ids) else np.zeros(0, np.int64)
     low, high = np.full(len(first), repeats.NO_ID), np.full(len(first), -2**63)
     np.minimum.at(low, where, doc)
     np.maximum.at(high, where, doc)
     n = size[first]
-    text = data[np.repeat(r.first[first] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    text = np.frombuffer(b"".join(raw[a:a + k] for a, k in zip(r.first[first].tolist(), n.tolist())), np.uint8)
     place = r.first[np.argsort(where, kind="stable")]
-    return Slices(r.key[first], low, high, n, text, count, place), characters(data, r.anchor[first], [0])[:, 0]
+    return Slices(r.key[first], low, high, n, text, count, place), leads(data, r.anchor[first], kind.gram)
 
 
 def sampled_splitters(table: DataFrame, kind: Kind, parts: int, sample: int = SAMPLE_CHUNKS) -> np.ndarray:
-    """Quantiles of the leading bytes of anchors in at most ``sample`` chunks, 512 anchors each."""
-    schema = pa.schema([("lead", pa.uint64())])
+    """Quantiles of the anchor strings in at most ``sample`` chunks, 512 anchors each."""
+    schema = pa.schema([("lead", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column("data"):
                 chunk = Chunk.unpacked(data.as_py())
                 anchors = repeats.runs(*repeats.symbols(chunk, kind), kind).anchor
-                text = np.frombuffer(b"".join(chunk.texts) + b"\0" * 8, np.uint8)
-                lead = characters(text, anchors[::max(1, len(anchors) // 512)][:512], [0])[:, 0] if len(anchors) else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array((lead ^ np.uint64(1 << 63)).view(np.int64))], names=["lead"])
+                text = b"".join(chunk.texts)
+                lead = [text[x:x + kind.gram] for x in anchors[::max(1, len(anchors) // 512)][:512].tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(lead, pa.binary())], schema=schema)
 
     chosen = table.orderBy(F.xxhash64("chunk")).limit(sample).select("chunk")
-    got = map_batches(table.join(F.broadcast(chosen), "chunk").select("data"), run, "lead long").collect()  # 512 numbers a chunk
-    lead = np.sort(np.array([r["lead"] for r in got], np.int64))
+    got = map_batches(table.join(F.broadcast(chosen), "chunk").select("data"), run, "lead binary").collect()  # 512 strings a chunk
+    lead = np.sort(np.array([bytes(r["lead"]) for r in got], f"S{kind.gram}"))
     return lead[np.linspace(0, len(lead) - 1, parts + 1).astype(int)[1:-1]] if len(lead) else lead
 
 
@@ -151,7 +156,7 @@ def decide(s: Slices, length: int = LENGTH, most: int = 400_000) -> tuple[np.nda
     padded = np.zeros((n, width), np.uint8)
     padded[np.repeat(np.arange(n), s.size), np.arange(len(s.text)) - np.repeat(np.cumsum(s.size) - s.size, s.size)] = s.text
     data, base = padded.ravel(), np.arange(n) * width
-    order, group = multikey_sort(np.column_stack([s.key, s.size.astype(np.uint64), characters(data, base, range(0, width, 8))]))
+    order, group = multikey_sort(characters(data, base, range(0, width, 8), (s.key, s.size)))
     same = np.empty(n, np.int64)
     same[order] = group
     least = np.full(n, repeats.NO_ID)
@@ -174,7 +179,7 @@ def decide(s: Slices, length: int = LENGTH, most: int = 400_000) -> tuple[np.nda
         owner = np.repeat(head[mine], k)
         at = np.arange(len(owner)) - np.repeat(np.cumsum(k) - k, k)
         offsets = [*range(0, length - 8, 8), length - 8]
-        order, group = multikey_sort(np.column_stack([s.key[owner], characters(data, base[owner] + at, offsets)]))
+        order, group = multikey_sort(characters(data, base[owner] + at, offsets, (s.key[owner],)))
         best = np.full(len(owner), repeats.NO_ID)
         np.minimum.at(best, group, least[owner[order]])
         least_of = np.empty(len(owner), np.int64)
@@ -230,7 +235,7 @@ OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed",
                  ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bool = True) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bool = True, most: int = repeats.MANY) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and the ``kept`` bytes)."""
     kind = Kind(length, gram, False)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -250,7 +255,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bo
 
     table = repeats.chunks(marked.where(~copy).select("doc_id", "text"))
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
-    masks, buckets = repeats.repeated_anchors(table, kind)
+    masks, buckets, many = repeats.repeated_anchors(table, kind, most)
     parts = max(32, -(-total // PART))
     splitters = sampled_splitters(table, kind, parts)
     schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("blob", pa.binary())])
@@ -259,7 +264,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bo
         for batch in batches:
             for c, data, m in zip(batch.column("chunk").to_pylist(), batch.column("data"), batch.column("masks").to_pylist()):
                 s, lead = chunk_slices(Chunk.unpacked(data.as_py()), m, buckets, kind)
-                part = np.searchsorted(splitters, (lead ^ np.uint64(1 << 63)).view(np.int64), side="right")
+                part = np.searchsorted(splitters, lead, side="right")
                 rows = []
                 for p in np.unique(part):
                     rows.append((int(p), c, s.take(np.flatnonzero(part == p)).packed()))
@@ -267,7 +272,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bo
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
 
     suffixes = map_batches(table.select("chunk", "data").join(masks, "chunk"), send, "part int, chunk long, blob binary")
-    answers = written(suffixes.groupBy("part").applyInPandas(lambda rows: answers_of(rows, length), "chunk long, answer binary"), "answers")
+    answers = suffixes.groupBy("part").applyInPandas(lambda rows: answers_of(rows, length), "chunk long, answer binary")
+    answers = written(answers.union(repeats.window_answers(table, masks, buckets, kind)) if many else answers, "answers")
 
     def apply(chunk: Chunk, answer: np.ndarray) -> list[tuple]:
         rows = []
