@@ -163,6 +163,47 @@ def test_personal_data_adds_spans_and_masks(spark, docs, rows, no_docs):
     assert pii.detect(docs, pii.Model()).count() == len(rows) and pii.detect(no_docs, pii.fit(no_docs)).count() == 0
 
 
+def weights(**features):
+    return pii.Model({k: np.array([9.0 if kind == v else -9.0 for kind in pii.KINDS]) for k, v in features.items()} | {"bias": np.full(5, -2.0)})
+
+
+def test_long_dense_runs_are_decoded_whole():
+    rng = random.Random(6)
+    text, want = "", []
+    for k in range(600):
+        text += f"row {k} "
+        want.append((len(text), len(text) + 14, "phone"))
+        text += f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)} "
+    assert pii.find(text, weights(ten="phone")) == want
+
+
+def test_decoding_token_by_token_is_exact():
+    rng, model = random.Random(8), weights(ten="phone", luhn="card", tokens="ip")
+    model.weights |= {f"shape={s}": np.array([rng.uniform(-3, 6) for _ in pii.KINDS]) for s in ("9", "9 9", "9 9 9", "9-9", "9 a 9", "a9", "a9 9", "9-9 9")}
+    for n in (5, 60, 3000):
+        text = " ".join(rng.choice(["1", "22", "a", "b7", "3-4", "555", "x y z u v"]) for _ in range(n))
+        want = []
+        for tokens in map(list, pii.stretches(text)):
+            best, path = [0.0], [[]]
+            for j in range(1, len(tokens) + 1):
+                ways = [(best[j - 1], path[j - 1])]
+                for i in range(max(0, j - pii.LONGEST), j):
+                    for e, f in pii.starting(text, tokens, i):
+                        s = model.scores(f)
+                        if e == j:
+                            ways.append((best[i] + s.max(), (path[i], (tokens[i][0], tokens[j - 1][1], pii.KINDS[int(s.argmax())]))))
+                top = max(ways, key=lambda w: w[0])
+                best.append(top[0])
+                path.append(top[1])
+            found, at = [], path[-1]
+            while at:
+                found.append(at[1])
+                at = at[0]
+            want += found[::-1]
+        got = [s for tokens in pii.stretches(text) for s in model.decode(text, tokens)]
+        assert got == want and (got or n == 5)
+
+
 def test_suffix_dedup(docs, rows, no_docs):
     small = docs.where("doc_id is null or doc_id <> 48")
     kept_rows = [(i, t) for i, t in rows if i != 48]

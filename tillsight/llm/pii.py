@@ -21,7 +21,10 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -87,31 +90,41 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 # -- stretches and features ------------------------------------------------------------------------------
 
-TOKEN = re.compile(r"[^\s\"'&*$%#!,;<>]+")
+PART = re.compile(r"[^\s\"'&*$%#!,;<>]")
+TOKEN = re.compile(PART.pattern + "+")
 TRIGGER = re.compile(r"[0-9@]")
-#: Characters of a token beyond which it is no part of an entity (one very long run costs nothing).
-TOKEN_MAX = 128
+#: Characters of a segment, and tokens of a stretch that are read before its settled part is given out.
+TOKEN_MAX, TURN = 128, 256
 
 
-def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of tokens around trigger tokens with ``CONTEXT`` plain tokens before and ``LONGEST`` after."""
-    seen = -1
-    for hit in TRIGGER.finditer(text):
-        if hit.start() < seen:
-            continue
-        lo = max(seen, hit.start() - 60, 0)
-        tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text, lo, min(len(text), hit.start() + 400))]
-        k = next((i for i, t in enumerate(tokens) if t[1] > hit.start()), None)
-        if k is None:
-            seen = hit.end()
+def stretches(text: str) -> Iterator[Iterator[tuple[int, int]]]:
+    """Runs of tokens around trigger tokens, each to be read to its end: up to ``CONTEXT`` plain tokens before the
+    first one, and on until more than ``LONGEST`` plain tokens have passed. Tokens are whole, runs of any length."""
+    seen = 0
+    while hit := TRIGGER.search(text, seen):
+        start, end = hit.start(), [hit.end()]
+        while start > seen and PART.match(text, start - 1):
+            start -= 1
+        yield _stretch(text, max(seen, start - 60), hit.start(), end)
+        seen = end[0]
+
+
+def _stretch(text: str, lo: int, hit: int, end: list[int]) -> Iterator[tuple[int, int]]:
+    """Tokens of one run; ``end`` becomes the end of its last trigger token."""
+    before, plain = deque(maxlen=CONTEXT), 0
+    for m in TOKEN.finditer(text, lo):
+        if m.end() <= hit:
+            before.append(m.span())
             continue
-        first, last, i = max(0, k - CONTEXT), k, k
-        while i < len(tokens) and i - last <= LONGEST:
-            if TRIGGER.search(text, *tokens[i]):
-                last = i
-            i += 1
-        yield tokens[first:last + 2]
-        seen = max(tokens[last][1], hit.end())
+        yield from before
+        before.clear()
+        if TRIGGER.search(text, *m.span()):
+            plain, end[0] = 0, m.end()
+        else:
+            plain += 1
+        if plain > LONGEST:
+            return
+        yield m.span()
 
 
 def _shape(s: str) -> str:
@@ -148,18 +161,21 @@ def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -
 KEYWORDS = {"token", "key", "secret", "password", "=", ":", "tel", "phone", "call", "mail", "card", "ip"}
 
 
+def starting(text: str, tokens: list[tuple[int, int]], i: int) -> Iterator[tuple[int, list[str]]]:
+    """(j, features) of the segments i to j-1 of up to ``LONGEST`` tokens on one line that begin and end with a digit
+    or ``@``."""
+    if not TRIGGER.search(text, *tokens[i]):
+        return
+    for j in range(i + 1, min(i + LONGEST, len(tokens)) + 1):
+        a, b = tokens[i][0], tokens[j - 1][1]
+        if b - a > TOKEN_MAX or text.find("\n", a, b) >= 0:
+            break
+        if TRIGGER.search(text, *tokens[j - 1]):
+            yield j, segment_features(text, tokens, i, j)
+
+
 def candidates(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, list[str]]]:
-    """Segments of up to ``LONGEST`` tokens on one line that begin and end with a digit, ``@``, bracket or sign."""
-    out = []
-    for i in range(len(tokens)):
-        for j in range(i + 1, min(i + LONGEST, len(tokens)) + 1):
-            a, b = tokens[i][0], tokens[j - 1][1]
-            if b - a > TOKEN_MAX or "\n" in text[a:b]:
-                break
-            ends = [text[tokens[i][0]:tokens[i][1]], text[tokens[j - 1][0]:tokens[j - 1][1]]]
-            if all(TRIGGER.search(e) for e in ends):
-                out.append((i, j, segment_features(text, tokens, i, j)))
-    return out
+    return [(i, j, f) for i in range(len(tokens)) for j, f in starting(text, tokens, i)]
 
 
 # -- model -----------------------------------------------------------------------------------------------
@@ -177,24 +193,46 @@ class Model:
                 out += self.weights[f]
         return out + self.weights.get("bias", -8.0)
 
-    def decode(self, n: int, segments: list[tuple[int, int, list[str]]]) -> list[tuple[int, int, str]]:
-        """Best segmentation of n tokens: best[j] is the score of the first j."""
-        best, back = np.zeros(n + 1), [None] * (n + 1)
-        ending: dict[int, list] = {}
-        for i, j, f in segments:
-            ending.setdefault(j, []).append((i, self.scores(f)))
-        for j in range(1, n + 1):
-            best[j] = best[j - 1]
-            for i, s in ending.get(j, []):
+    def decode(self, text: str, tokens: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+        """(start, end, kind) of the best segmentation of a stretch, read token by token: best[j] is the score of the
+        first j. What all open paths share is given out every ``TURN`` tokens, so a long run holds only its tail."""
+        held, best, back, floor, i = [], [0.0], [None], 0, 0
+        tokens = iter(tokens)
+        while True:
+            for t in islice(tokens, LONGEST - (len(held) - i)):
+                held.append(t)
+                best.append(-math.inf)
+                back.append(None)
+            if i == len(held):
+                yield from self._path(held, back, i, floor)
+                return
+            if best[i] >= best[i + 1]:
+                best[i + 1], back[i + 1] = best[i], None
+            for j, f in starting(text, held, i):
+                s = self.scores(f)
                 k = int(s.argmax())
                 if best[i] + s[k] > best[j]:
                     best[j], back[j] = best[i] + s[k], (i, k)
-        out, j = [], n
-        while j > 0:
+            i += 1
+            if i >= TURN and i % TURN == 0:
+                ends = {q for q in range(i, len(best)) if best[q] > -math.inf}
+                while len(ends) > 1:
+                    q = max(ends)
+                    ends = ends - {q} | {back[q][0] if back[q] else q - 1}
+                p = max(ends.pop(), floor)
+                yield from self._path(held, back, p, floor)
+                drop = max(p - 1, 0)  # the token before stays, as a feature reads it
+                held, best, floor, i = held[drop:], best[drop:], p - drop, i - drop
+                back = [(b[0] - drop, b[1]) if b else None for b in back[drop:]]
+
+    @staticmethod
+    def _path(held: list, back: list, j: int, floor: int) -> list[tuple[int, int, str]]:
+        out = []
+        while j > floor:
             if back[j] is None:
                 j -= 1
             else:
-                out.append((back[j][0], j, KINDS[back[j][1]]))
+                out.append((held[back[j][0]][0], held[j - 1][1], KINDS[back[j][1]]))
                 j = back[j][0]
         return out[::-1]
 
@@ -268,7 +306,7 @@ def _variant(text: str, spans: list[tuple[int, int, str]], rng: random.Random) -
 
 
 def examples_of(text: str, spans: list[tuple[int, int, str]]):
-    for tokens in stretches(text):
+    for tokens in map(list, stretches(text)):
         segments = candidates(text, tokens)
         if not segments:
             continue
@@ -293,12 +331,14 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_stretches: int =
 def find(text: str, model: Model) -> list[tuple[int, int, str]]:
     """Base spans, and the model's spans that touch none of them; by start, then kind."""
     base = base_spans(text)
-    out, taken = list(base), sorted((a, b) for a, b, _ in base)
+    out, end, starts = list(base), 0, [a for a, _, _ in base]
+    reach = list(accumulate((b for _, b, _ in base), max))
     for tokens in stretches(text):
-        for i, j, kind in model.decode(len(tokens), candidates(text, tokens)):
-            a, b = tokens[i][0], tokens[j - 1][1]
-            if not any(x < b and a < y for x, y in taken) and not any(x < b and a < y for x, y, _ in out[len(base):]):
+        for a, b, kind in model.decode(text, tokens):
+            k = bisect_left(starts, b)  # the base spans that start before b
+            if not (k and reach[k - 1] > a) and a >= end:
                 out.append((a, b, kind))
+                end = b
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
