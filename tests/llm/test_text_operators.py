@@ -204,6 +204,17 @@ def test_decoding_token_by_token_is_exact():
         assert got == want and (got or n == 5)
 
 
+@pytest.mark.parametrize("size", [64, 300, 1500])
+def test_long_secrets_are_added_and_masked(spark, size):
+    rng, model = random.Random(size), weights(hex="secret")
+    secret = "".join(rng.choice("0123456789abcdef") for _ in range(size)) + "7a"
+    text = f'before token = "{secret}" after'
+    assert pii.find(text, model) == [(16, 16 + len(secret), "secret")]
+    assert pii.redact(spark.createDataFrame([(text,)], "text string"), model).first()[0] == 'before token = "[SECRET]" after'
+    trained = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert (16, 16 + len(secret), "secret") in pii.find(text, trained)
+
+
 def test_suffix_dedup(docs, rows, no_docs):
     small = docs.where("doc_id is null or doc_id <> 48")
     kept_rows = [(i, t) for i, t in rows if i != 48]

@@ -93,7 +93,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 PART = re.compile(r"[^\s\"'&*$%#!,;<>]")
 TOKEN = re.compile(PART.pattern + "+")
 TRIGGER = re.compile(r"[0-9@]")
-#: Characters of a segment, and tokens of a stretch that are read before its settled part is given out.
+#: Characters of a segment of several tokens, and tokens of a stretch that are read before its settled part is given out.
 TOKEN_MAX, TURN = 128, 256
 
 
@@ -163,12 +163,12 @@ KEYWORDS = {"token", "key", "secret", "password", "=", ":", "tel", "phone", "cal
 
 def starting(text: str, tokens: list[tuple[int, int]], i: int) -> Iterator[tuple[int, list[str]]]:
     """(j, features) of the segments i to j-1 of up to ``LONGEST`` tokens on one line that begin and end with a digit
-    or ``@``."""
+    or ``@``; a single token may have any length."""
     if not TRIGGER.search(text, *tokens[i]):
         return
     for j in range(i + 1, min(i + LONGEST, len(tokens)) + 1):
         a, b = tokens[i][0], tokens[j - 1][1]
-        if b - a > TOKEN_MAX or text.find("\n", a, b) >= 0:
+        if (j > i + 1 and b - a > TOKEN_MAX) or text.find("\n", a, b) >= 0:
             break
         if TRIGGER.search(text, *tokens[j - 1]):
             yield j, segment_features(text, tokens, i, j)
