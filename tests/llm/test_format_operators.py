@@ -204,6 +204,29 @@ def test_url_rules_and_walk(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_walk_runs_until_it_has_converged(spark):
+    chain = [f"h{k}.example" for k in range(15)] + ["x.net"]
+    links = {(a, b): 1 for a, b in zip(chain, chain[1:])} | {("h3.example", "h5.example"): 2, ("a.example", "b.example"): 1, ("b.example", "a.example"): 1,
+                                                          ("c.example", "a.example"): 50, ("a.example", "x.net"): 1}
+    pages = [(k, f"http://{a}/", f'<a href="http://{b}/">' * n) for k, ((a, b), n) in enumerate(links.items())] + [(99, "http://x.net/", "")]
+    got = {r["host"]: r for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    back = {(b, a): n for (a, b), n in links.items()}
+    rank, out = {"x.net": 1.0}, defaultdict(int)
+    for (a, _), n in back.items():
+        out[a] += n
+    for _ in range(400):
+        new = defaultdict(float)
+        for (a, b), n in back.items():
+            new[b] += 0.85 * rank.get(a, 0.0) * n / out[a]
+        new["x.net"] += 1 - sum(new.values())
+        rank = new
+    assert all(abs(got[h]["distrust"] - rank[h]) < 1e-10 and rank[h] > 0 for h in [*chain, "a.example", "b.example", "c.example"])
+    assert {r["verdict"] for r in got.values()} == {"block"}
+    with pytest.raises(RuntimeError):
+        edges = spark.createDataFrame([(a, b, n) for (a, b), n in back.items()], "src string, dst string, n long")
+        url_filter.propagate(edges, spark.createDataFrame([("x.net", 1.0)], "host string, weight double"), "t", rounds=5)
+
+
 def brute_host(url):
     return url.split("://", 1)[1].split("/")[0].split("?")[0].split("#")[0].lower() if url and "://" in url else ""
 

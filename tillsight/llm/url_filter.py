@@ -4,7 +4,8 @@ Trust flows from hosts under an allow rule along links (personalised PageRank wi
 seeds); distrust flows from hosts under a block rule against the links (the same walk on reversed edges):
 who links to blocked hosts becomes suspect. Edges are distinct host pairs with their counts, aggregated
 before any join, so a host that a third of all pages link to is a third of the hosts' edges at most and
-sends one number. A host is blocked if its distrust exceeds ``MARGIN`` times its trust.
+sends one number. Both walks run until they have converged. A host is blocked if its
+distrust exceeds ``MARGIN`` times its trust.
 
 Edge cases: a null url or one without ``://`` has an empty host and path and the verdict allow; null or empty
 html has no links; repeated page ids are judged row by row; links to the same host do not count; unknown
@@ -21,7 +22,9 @@ from .common import written
 # Fixed values: (host, path, verdict).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
-DAMPING, ROUNDS, MARGIN = 0.85, 10, 1.0
+DAMPING, MARGIN = 0.85, 1.0
+#: Mass that a round may still move when a walk ends, and rounds beyond which it raises.
+TOLERANCE, ROUNDS = 1e-12, 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,20 +63,21 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, name: str, rounds: int = ROUNDS) -> DataFrame:
-    """``host, rank``: personalised PageRank over ``src, dst, n`` from ``host, weight`` (summing to 1); mass of hosts
-    without links goes back to the seeds."""
+    """``host, rank``: converged personalised PageRank over ``src, dst, n`` from ``host, weight`` (summing to 1); mass of
+    hosts without links goes back to the seeds. What goes back only scales the ranks, so the walk is summed link by
+    link from the seeds, until a round moves at most ``TOLERANCE`` and reaches no new host, and divided by its sum."""
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     steps = written(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")), f"{name}-steps")
-    seeds = written(seeds, f"{name}-seeds")
-    rank = seeds.select("host", F.col("weight").alias("rank"))
-    for _ in range(0 if steps.isEmpty() else rounds):  # without edges all mass stays at the seeds
-        moved = steps.join(rank, F.col("src") == F.col("host")).groupBy(F.col("dst").alias("host")).agg(
-            (DAMPING * F.sum(F.col("rank") * F.col("share"))).alias("m"))
-        moved = written(moved, f"{name}-moved")
-        back = 1 - (moved.agg(F.sum("m")).first()[0] or 0.0)
-        both = moved.select("host", F.col("m").alias("rank")).union(seeds.select("host", (F.col("weight") * back).alias("rank")))
-        rank = both.groupBy("host").agg(F.sum("rank").alias("rank"))
-    return rank
+    now = written(seeds.select("host", F.col("weight").alias("rank"), F.col("weight").alias("fresh")), f"{name}-seeds")
+    for _ in range(rounds + 1):
+        moved = steps.join(now.where("fresh > 0"), F.col("src") == F.col("host")).groupBy(F.col("dst").alias("host")).agg(
+            (DAMPING * F.sum(F.col("fresh") * F.col("share"))).alias("m"))
+        both = now.select("host", "rank", F.lit(0.0).alias("fresh")).union(moved.select("host", "m", "m"))
+        now = written(both.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("fresh").alias("fresh")), f"{name}-walk")
+        total, fresh, new = now.agg(F.sum("rank"), F.sum("fresh"), F.count(F.expr("CASE WHEN fresh > 0 AND rank = fresh THEN 1 END"))).first()
+        if not new and (fresh or 0.0) <= TOLERANCE:
+            return now.select("host", (F.col("rank") / F.lit(total or 1.0)).alias("rank"))
+    raise RuntimeError(f"{name} did not converge in {rounds} rounds")
 
 
 def judge(pages: DataFrame, rules=RULES, margin: float = MARGIN, rounds: int = ROUNDS) -> DataFrame:
