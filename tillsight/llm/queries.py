@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, packing, phrase_dedup, pii, quality_rules, suffix_dedup, token_codes, url_filter, warc
+from . import decontaminate, hard_negatives, ngram_join, packing, phrase_dedup, pii, quality_rules, suffix_dedup, token_codes, url_filter, warc
 from .common import read, scratch
 
 
@@ -63,8 +64,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), vec_id % 100 == 0, vec_id, moved, F.col("embedding"))
+
+
 QUERIES = (op1_pii_segments, op2_token_codes, op3_packing, op4_warc, op5_suffix_dedup, op6_url_filter,
-           op7_ngram_jaccard_join, op8_phrase_dedup, op9_benchmark_decontamination, op10_quality_rules)
+           op7_ngram_jaccard_join, op8_phrase_dedup, op9_benchmark_decontamination, op10_quality_rules, op11_hard_negatives)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -72,4 +79,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_benchmark_decontamination": decontaminate.ORACLE}
+    return {"op9_benchmark_decontamination": decontaminate.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE}
