@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottom_k, decontaminate, hard_negatives, ngram_join, packing, phrase_dedup, pii, quality_rules, suffix_dedup, token_codes, url_filter, warc
+from . import bottom_k, decontaminate, hard_negatives, ngram_join, packing, phrase_dedup, pii, quality_rules, spelling, suffix_dedup, token_codes, url_filter, warc
 from .common import read, scratch
 
 
@@ -70,12 +70,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(read(spark, sf_dir, "embeddings"), vec_id % 100 == 0, vec_id, moved, F.col("embedding"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottom_k.near_copies(read(spark, sf_dir, "documents"))
 
 
 QUERIES = (op1_pii_segments, op2_token_codes, op3_packing, op4_warc, op5_suffix_dedup, op6_url_filter,
-           op7_ngram_jaccard_join, op8_phrase_dedup, op9_benchmark_decontamination, op10_quality_rules, op11_hard_negatives, op13_minhash_near_dedup)
+           op7_ngram_jaccard_join, op8_phrase_dedup, op9_benchmark_decontamination, op10_quality_rules, op11_hard_negatives,
+           op12_spelling_variants, op13_minhash_near_dedup)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
