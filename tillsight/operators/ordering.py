@@ -29,6 +29,8 @@ def desc_bucket(key: Column, bounds: Sequence[float]) -> Column:
     """Bucket index such that a larger key never lands in a later bucket."""
     if not bounds:
         return F.lit(0)
+    if len(bounds) > 64:
+        return F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b > key))
     # number of cut points above the key; plain comparisons stay in codegen
     terms = [(F.lit(float(b)) > key).cast("int") for b in bounds]
     return sum(terms[1:], terms[0])
@@ -55,9 +57,11 @@ def running_sums(df: DataFrame, bucket: Column, order: Sequence[Column],
                                    for i, c in enumerate(sum_cols)])
 
 
-def running_sums_desc(df: DataFrame, key: str, sum_cols: Sequence[str], buckets: int = 64,
+def running_sums_desc(df: DataFrame, key: str, sum_cols: Sequence[str], buckets: int | None = None,
                       prefix: str = "cum_") -> DataFrame:
-    """Running sums in descending ``key`` order (``key`` unique per row)."""
+    """Running sums in descending ``key`` order (``key`` unique per row), in as many buckets as the
+    session has shuffle partitions."""
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = quantile_bounds(df, key, buckets)
     return running_sums(df, desc_bucket(F.col(key), bounds), [F.col(key).desc()], sum_cols, prefix)
 

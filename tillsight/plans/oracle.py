@@ -702,7 +702,8 @@ union all select 'nobody', 'rejected s9', 0.5, 5.0"""
 
 def build() -> dict[str, str]:
     """All oracle texts, keyed like ``__spark_entry__.queries()``."""
-    out = {}
+    from tillsight.plans import model_oracle
+    out = model_oracle.build()
     for k, v in globals().items():
         if k.startswith("q_") and callable(v):
             out[k] = v()

@@ -19,6 +19,10 @@ ALL_MONTH_ENDS = tuple(month_ends("1995-01-01", "2001-12-31"))
 # part type + size); SMALL and LARGE are left unmapped on purpose.
 TEST_CATEGORY_MAP = {"STANDARD": "core", "PROMO": "promotion", "ECONOMY": "core", "MEDIUM": "mid"}
 
+# Segments of the test tables (order priorities), and rounds of the boosted model that SQL trains too.
+SEGMENTS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+BOOST_ROUNDS = 3
+
 # VIP segment of the test tables (order priority plays the segment).
 TEST_VIP_SEGMENT = "1-URGENT"
 
