@@ -6,11 +6,13 @@
    ``needed`` sketch values (but for a chance below ``MISS``), so a class is listed only under its rarest
    ``size - needed + 1`` values (rare by counted lists, ties by value): two such sets still meet, and the values of
    boilerplate list nobody who has rarer ones.
-3. First pass: every member of a list against the list's least member. The union sketch estimates the similarity and
-   drops pairs that cannot reach the threshold; the rest is confirmed on the full sets. Links join into components.
-4. Second pass: lists that still hold several components. All members outside a list's largest component meet all of its
-   members, in blocks by blocks, each block pair a task of its own; again estimate first, full sets after. Pairs inside
-   one component need no look, so a large group of near copies costs about one comparison a member.
+3. First pass: every member of a list against the list's most central member, whose values are on the longest lists.
+   The union sketch estimates the similarity and drops pairs that cannot reach the threshold; the rest is confirmed on the
+   full sets. Links join into components.
+4. Second pass: lists that still hold several components, and the groups of components that such lists tie together. All
+   members outside the largest component of a group (or of each of its lists, where that takes fewer comparisons) meet all
+   its members, in blocks by blocks; again estimate first, full sets after. Pairs inside one component need no look, so a
+   large group of near copies costs about one comparison a member.
 
 No pairs leave a task of step 4, only a leader for each member. Every pair of one list is either compared or already in
 one component, so the components are those of all links.
@@ -40,8 +42,8 @@ from .components import components
 from .shingling import window_hashes
 
 SIZE, PERCENT, KEPT, MISS = 3, 85, 64, 1e-9
-#: Members and shingles of one block; shingles of one slice of the incidence product.
-BLOCK, BLOCK_SHINGLES, SLICE = 256, 4_000_000, 4096
+#: Members and shingles of one block; shingles of one slice of the incidence product; pairs that are compared one by one.
+BLOCK, BLOCK_SHINGLES, SLICE, FEW = 256, 1_000_000, 4096, 64
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -103,14 +105,16 @@ def may_link(a: Column, b: Column, kept: int = KEPT, percent: int = PERCENT) ->
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
-    """``value, key, rep, n_shingles``: classes under the rarest values of their sketches (a written table)."""
+    """``value, key, rep, n_shingles, central``: classes under the rarest values of their sketches (a written table).
+
+    ``central`` is the summed length of all lists that the sketch is on."""
     held = classes.select("key", "rep", "n_shingles", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     often = held.groupBy("value").agg(F.count("*").alias("lists")).where("lists > 1")
     met = held.join(often, "value")
     mine = W.partitionBy("key", "rep")
-    ranked = met.withColumn("met", F.count("*").over(mine)).withColumn("place", F.row_number().over(mine.orderBy("lists", "value")))
+    ranked = met.withColumn("met", F.count("*").over(mine)).withColumn("central", F.sum("lists").over(mine)).withColumn("place", F.row_number().over(mine.orderBy("lists", "value")))
     room = F.col("size") - needed(F.col("size")) + 1 - (F.col("size") - F.col("met"))  # values of no other class come first
-    return written(ranked.where(F.col("place") <= room).select("value", "key", "rep", "n_shingles"), "lists")
+    return written(ranked.where(F.col("place") <= room).select("value", "key", "rep", "n_shingles", "central"), "lists")
 
 
 # -- full sets ---------------------------------------------------------------------------------------------
@@ -174,75 +178,119 @@ def possible(left: list[np.ndarray], right: list[np.ndarray], kept: int = KEPT,
     return out
 
 
-def verified(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
-    """``u, v``: every member that is linked in this tile, with the least node it is linked to. ``rep, comp, side, shingles``."""
-    sides = [rows[rows["side"] == s].reset_index(drop=True) for s in (0, 1)]
-    sets = [[np.frombuffer(x, np.uint64) for x in s["shingles"]] for s in sides]
-    none = pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
-    if not sets[0] or not sets[1]:
-        return none
-    link = possible(*sets) & (sides[0]["comp"].to_numpy()[:, None] != sides[1]["comp"].to_numpy()[None, :])
-    asked = [np.flatnonzero(link.any(axis=1)), np.flatnonzero(link.any(axis=0))]
-    if not len(asked[0]):
-        return none
-    sets = [[s[k] for k in at] for s, at in zip(sets, asked)]
-    ids = [s["rep"].to_numpy()[at] for s, at in zip(sides, asked)]
-    link = link[np.ix_(*asked)]
-    both = overlaps(*sets)
+def linked(sets: list[list[np.ndarray]], comps: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+    """Which sets of the left side are linked with which of the right; pairs of one component are not looked at."""
     n = [np.array([len(x) for x in s], np.int64) for s in sets]
-    link &= 100 * both >= percent * (n[0][:, None] + n[1][None, :] - both)
-    lead, before = [ids[0].copy(), ids[1].copy()], -1
-    far = np.iinfo(np.int64).max
-    while before != (before := int(lead[0].sum(dtype=np.uint64) + lead[1].sum(dtype=np.uint64))):
-        lead[0] = np.minimum(lead[0], np.where(link, lead[1][None, :], far).min(axis=1))
-        lead[1] = np.minimum(lead[1], np.where(link, lead[0][:, None], far).min(axis=0))
-    out = pd.DataFrame({"u": np.concatenate(ids), "v": np.concatenate(lead)})
-    return out[out["u"] != out["v"]].drop_duplicates()
+    link = (comps[0][:, None] != comps[1][None, :]) & (100 * np.minimum(n[0][:, None], n[1]) >= percent * np.maximum(n[0][:, None], n[1]))
+    if link.sum() <= FEW:
+        for i, j in zip(*np.nonzero(link)):
+            if link[i, j] and possible([sets[0][i]], [sets[1][j]], percent=percent)[0, 0]:
+                both = len(np.intersect1d(sets[0][i], sets[1][j], assume_unique=True))
+                link[i, j] = 100 * both >= percent * (n[0][i] + n[1][j] - both)
+            else:
+                link[i, j] = False
+        return link
+    link &= possible(*sets, percent=percent)
+    rows, columns = np.flatnonzero(link.any(axis=1)), np.flatnonzero(link.any(axis=0))
+    if len(rows):
+        both = overlaps([sets[0][k] for k in rows], [sets[1][k] for k in columns])
+        at = np.ix_(rows, columns)
+        link[at] &= 100 * both >= percent * (n[0][rows][:, None] + n[1][columns][None, :] - both)
+    return link
+
+
+def verified(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
+    """``u, v``: every member that is linked in one of these tiles, with the least node it is linked to. ``list, a, b, side, rep, comp, shingles``."""
+    far, out = np.iinfo(np.int64).max, [np.zeros((0, 2), np.int64)]
+    ids, comps, sides = (rows[c].to_numpy() for c in ("rep", "comp", "side"))
+    blobs = rows["shingles"].to_numpy()
+    for places in rows.groupby(["list", "a", "b"], sort=False).indices.values():
+        two = [places[sides[places] == s] for s in (0, 1)]
+        if not len(two[0]) or not len(two[1]):
+            continue
+        sets = [[np.frombuffer(blobs[k], np.uint64) for k in t] for t in two]
+        link = linked(sets, [comps[t] for t in two], percent)
+        if not link.any():
+            continue
+        lead, before = [ids[t].copy() for t in two], None
+        while before is None or any((x != y).any() for x, y in zip(lead, before)):
+            before = [x.copy() for x in lead]
+            lead[0] = np.minimum(lead[0], np.where(link, lead[1][None, :], far).min(axis=1))
+            lead[1] = np.minimum(lead[1], np.where(link, lead[0][:, None], far).min(axis=0))
+        out.append(np.column_stack([np.concatenate([ids[t] for t in two]), np.concatenate(lead)]))
+    pairs = np.unique(np.concatenate(out), axis=0)
+    return pd.DataFrame(pairs[pairs[:, 0] != pairs[:, 1]], columns=["u", "v"])
 
 
 def links_of(tiles: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links found in tiles ``list, a, b, side, rep, key, comp`` (a written table)."""
-    full = tiles.join(sets, ["rep", "key"])
-    return written(full.groupBy("list", "a", "b").applyInPandas(lambda rows: verified(rows), "u long, v long"), "links")
+    """Links found in tiles ``list, a, b, side, rep, key, comp, n_shingles`` (a written table).
+
+    A task takes several tiles, about ``BLOCK_SHINGLES`` shingles or one large tile."""
+    total = tiles.agg(F.sum("n_shingles")).first()[0] or 0
+    bundles = max(int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_SHINGLES))
+    full = tiles.withColumn("bundle", F.pmod(F.xxhash64("list", "a", "b"), F.lit(bundles))).join(sets, ["rep", "key"])
+    return written(full.select("bundle", "list", "a", "b", "side", "rep", "comp", "shingles").groupBy("bundle").applyInPandas(lambda rows: verified(rows), "u long, v long"), "links")
 
 
 def _blocks(members: Column, shingles: Column) -> Column:
-    return F.greatest(F.ceil(members / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    return F.greatest(F.ceil(members / BLOCK), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
 
 
 def _block(blocks: Column) -> Column:
     return F.pmod(F.xxhash64("key", "list"), blocks).cast("int")
 
 
+TILE = ["list", "a", "b", "side", "rep", "key", "comp", "n_shingles"]
+
+
 def first_pass(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """Tiles of every list's least member against the others that the union sketch leaves (a written table)."""
-    hubs = lists.groupBy("value").agg(F.min(F.struct("rep", "key")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    pairs = lists.join(hubs, "value").where(F.col("key") != F.col("hub.key")).select("rep", "key", "n_shingles", F.col("hub.rep").alias("hub"), F.col("hub.key").alias("hub_key")).distinct()
+    """Tiles of every list's most central member against the others that the union sketch leaves (a written table)."""
+    hubs = lists.groupBy("value").agg(F.min(F.struct((-F.col("central")).alias("out"), "rep", "key", "n_shingles")).alias("hub"), F.count("*").alias("n")).where("n > 1")
+    pairs = lists.join(hubs, "value").where(F.col("key") != F.col("hub.key")).select(
+        "rep", "key", "n_shingles", F.col("hub.rep").alias("hub"), F.col("hub.key").alias("hub_key"), F.col("hub.n_shingles").alias("hub_shingles")).distinct()
     one, two = classes.select("key", "sketch"), classes.select(F.col("key").alias("hub_key"), F.col("sketch").alias("hub_sketch"))
     left = written(pairs.join(one, "key").join(two, "hub_key").where(may_link(F.col("sketch"), F.col("hub_sketch"))).drop("sketch", "hub_sketch"), "pairs")
     counts = left.groupBy("hub_key").agg(_blocks(F.count("*"), F.sum("n_shingles")).alias("blocks"))
-    dealt = left.join(counts, "hub_key").withColumn("list", F.col("hub_key")).withColumn("b", _block(F.col("blocks")))
-    tile = ["list", F.lit(0).alias("a"), "b"]
-    others = dealt.select(*tile, F.lit(1).alias("side"), "rep", "key", F.lit(1).cast("long").alias("comp"))
-    heads = dealt.select(*tile, F.lit(0).alias("side"), F.col("hub").alias("rep"), F.col("list").alias("key"), F.lit(0).cast("long").alias("comp")).distinct()
+    dealt = left.join(counts, "hub_key").withColumn("list", F.col("hub_key")).withColumn("b", _block(F.col("blocks"))).withColumn("a", F.lit(0))
+    others = dealt.withColumn("side", F.lit(1)).withColumn("comp", F.lit(1).cast("long")).select(*TILE)
+    heads = dealt.select("list", "a", "b", F.lit(0).alias("side"), F.col("hub").alias("rep"), F.col("list").alias("key"), F.lit(0).cast("long").alias("comp"),
+                         F.col("hub_shingles").alias("n_shingles")).distinct()
     return written(others.unionByName(heads), "tiles")
 
 
+def _open(members: DataFrame, unit: str) -> DataFrame:
+    """Units (``unit``) that hold several components: sizes, the largest component and its sizes, a checksum of the members."""
+    parts = members.groupBy(unit, "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"), F.expr("bit_xor(xxhash64(key))").alias("x"), F.expr("bit_xor(xxhash64(key, 1))").alias("y"))
+    most = F.struct("n", "comp", "w")
+    return parts.groupBy(unit).agg(F.max(most).alias("main"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.count("*").alias("comps"), F.min("comp").alias("least"),
+                                   F.expr("bit_xor(x)").alias("x"), F.expr("bit_xor(y)").alias("y")).where("comps > 1")
+
+
 def second_pass(lists: DataFrame, tied: DataFrame) -> DataFrame:
-    """Tiles of the members outside a list's largest component against all its members (a written table)."""
-    known = lists.join(tied.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
-    parts = known.groupBy("value", "comp").agg(
-        F.count("*").alias("n"), F.sum("n_shingles").alias("w"), F.expr("bit_xor(xxhash64(key))").alias("x"), F.expr("bit_xor(xxhash64(key, 1))").alias("y"))
-    whole = parts.groupBy("value").agg(
-        F.max_by("comp", F.struct("n", "comp")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.max_by("w", F.struct("n", "comp")).alias("main_w"),
-        F.count("*").alias("comps"), F.expr("bit_xor(x)").alias("x"), F.expr("bit_xor(y)").alias("y")).where("comps > 1")
+    """Tiles of the members outside the largest component of a group, or of its lists, against all its members (a written table)."""
+    known = lists.join(tied.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root", "central")
+    open_lists = _open(known, "value")
+    cost = (F.col("n") - F.col("main.n")) * F.col("n")
+    met = written(known.join(open_lists.select("value", "least"), "value"), "open")
+    groups = components(met.select(F.col("comp").alias("u"), F.col("least").alias("v")).distinct()).withColumnRenamed("u", "comp").withColumnRenamed("v", "g")
+    met = met.join(groups, "comp", "left").withColumn("group", F.coalesce("g", "comp")).drop("g", "least")
+    members = met.select("group", "rep", "key", "n_shingles", "comp").distinct()
+    of = met.select("value", "group").distinct()
+    by_list = open_lists.join(of, "value").groupBy("group").agg(F.sum(cost).alias("by_list"))
+    sizes = _open(members, "group").withColumn("whole", cost).join(by_list, "group")
+    whole = sizes.where((F.col("n") <= BLOCK) | (F.col("whole") <= F.col("by_list")))
+    apart = sizes.join(whole.select("group"), "group", "left_anti").select("group").join(of, "group").join(open_lists, "value")
     # lists with the same members are looked at once
-    open_lists = whole.groupBy("n", "x", "y").agg(F.min(F.struct("value", "main", "most", "w", "main_w")).alias("l")).select("n", "l.*")
-    sized_lists = open_lists.select("value", "main", _blocks(F.col("n") - F.col("most"), F.col("w") - F.col("main_w")).alias("rows"), _blocks(F.col("n"), F.col("w")).alias("columns"))
-    met = known.join(sized_lists, "value").withColumn("list", F.expr("encode(cast(value as string), 'utf-8')"))
-    members = met.select("list", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("a"), _block(F.col("columns")).alias("b"), F.lit(1).alias("side"), "rep", "key", "comp")
-    others = met.where("comp <> main").select("list", _block(F.col("rows")).alias("a"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("b"), F.lit(0).alias("side"), "rep", "key", "comp")
-    return written(members.unionByName(others), "tiles")
+    apart = apart.groupBy("n", "x", "y").agg(F.min(F.struct("value", "main", "w")).alias("l")).select("n", "l.*")
+
+    def tiles(rows: DataFrame, units: DataFrame, unit: str, mark: str) -> DataFrame:
+        cut = units.select(unit, F.col("main.comp").alias("largest"), _blocks(F.col("n") - F.col("main.n"), F.col("w") - F.col("main.w")).alias("rows"), _blocks(F.col("n"), F.col("w")).alias("columns"))
+        dealt = rows.join(cut, unit).withColumn("list", F.encode(F.concat(F.lit(mark), F.col(unit).cast("string")), "utf-8"))
+        everyone = dealt.withColumn("a", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).withColumn("b", _block(F.col("columns"))).withColumn("side", F.lit(1))
+        others = dealt.where("comp <> largest").withColumn("a", _block(F.col("rows"))).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).withColumn("side", F.lit(0))
+        return everyone.select(*TILE).unionByName(others.select(*TILE))
+
+    return written(tiles(members, whole, "group", "g").unionByName(tiles(met.drop("group"), apart, "value", "v")), "tiles")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
