@@ -52,6 +52,27 @@ def test_first_load_keeps_one_row_a_key_and_moved_months_vanish(spark):
     assert [r["sale_month"] for r in spark.read.parquet(f"{base}/fact_sales").collect()] == [202310]
 
 
+@pytest.mark.parametrize("batch_id", ["plain", "2024-01-01 10:00", "a/b=c%d", "..", "x/../../y"])
+def test_any_batch_name_is_replaced_in_its_own_folder(spark, batch_id):
+    base = tempfile.mkdtemp()
+    PL.stage_batch(sale(spark, ("1", "05/09/2023", "c", 5)), base, "kept", "f", {})
+    for _ in range(2):
+        PL.stage_batch(sale(spark, ("1", "05/09/2023", "c", 5), (None, "05/09/2023", "c", 5)), base, batch_id, "f", {})
+    for table in ("staging", "sale_rejects"):
+        rows = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(f"{base}/{table}")
+        assert rows.where(F.col("load_batch_id") == batch_id).count() == 1
+    assert spark.read.parquet(f"{base}/staging").count() == 2
+
+
+def test_streamed_incomplete_rows_are_kept(spark):
+    base = tempfile.mkdtemp()
+    batch = sale(spark, ("1", "05/09/2023", "c", 5), ("2", "no date", "c", 6)).withColumn("source_file_name", F.lit("f"))
+    for _ in range(2):
+        _writer(base, "stream_r-", {})(batch, 0)
+    assert spark.read.parquet(f"{base}/staging").count() == 1
+    assert [r["source_row_id"] for r in spark.read.parquet(f"{base}/sale_rejects").collect()] == ["2"]
+
+
 def test_one_score_a_key(spark):
     rows = spark.createDataFrame([("2024-01-01", 1, "m", "1", 0.2, 2.0, "b"), ("2024-01-01", 1, "m", "1", 0.9, 9.0, "b")],
                                  "snapshot_date string, customer_key int, model_name string, model_version string, churn_prob double, risk_score double, load_batch_id string")

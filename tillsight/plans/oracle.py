@@ -700,6 +700,23 @@ from (select customer_name, {pseudo()} as p from features)
 union all select 'nobody', 'rejected s9', 0.5, 5.0"""
 
 
+# ----------------------------------------------------- the published warehouse
+
+def q_batch_ledger() -> str:
+    return _with(SALES, """t as (
+  select count(*) filter (load_batch_id = 'batch_a') as na, count(*) filter (load_batch_id = 'batch_b') as nb,
+         cast(sum(revenue) filter (load_batch_id = 'batch_a') as double) as ra, cast(sum(revenue) as double) as r from sales)""") + """
+select 1 as attempt, 'batch_a' as load_batch_id, 'batch_a.parquet' as source_file_name, 'SUCCESS' as status, na as rows_loaded, 0 as rows_rejected,
+       1 as version, true as finished, false as has_error, na as fact_rows, ra as fact_revenue from t
+union all select 2, 'batch_b', 'batch_b.parquet', 'FAILED', nb, 0, null, true, true, na, ra from t
+union all select 3, 'batch_b', 'batch_b.parquet', 'SUCCESS', nb, 0, 2, true, false, na + nb, r from t
+union all select 4, 'empty:1/2', 'empty:1/2.parquet', 'FAILED', 0, 0, null, true, true, na + nb, r from t"""
+
+
+def q_snapshot_incremental() -> str:
+    return q_multi_snapshot()
+
+
 def build() -> dict[str, str]:
     """All oracle texts, keyed like ``__spark_entry__.queries()``."""
     from tillsight.plans import model_oracle

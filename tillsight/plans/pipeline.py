@@ -70,10 +70,15 @@ def replace(df: DataFrame, base: str, name: str, partition_by: Sequence[str] = (
     return staged
 
 
+def partition_folder(spark: SparkSession, **values) -> str:
+    """The folder of a partition as Spark names it: values escaped, so none can name another folder."""
+    esc = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None or v == '' else esc(str(v))}" for k, v in values.items())
+
+
 def drop_partition(spark: SparkSession, base: str, name: str, **values) -> None:
     """Delete one partition folder: dynamic overwrite leaves a partition that the new content no longer has."""
-    folder = "/".join([_path(base, name), *[f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in values.items()]])
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_path(base, name)}/{partition_folder(spark, **values)}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -83,13 +88,21 @@ def stage_batch(raw: DataFrame, base: str, batch_id: str, source_file: str | Non
                 category_map: Mapping[str, str] = K.CATEGORY_MAP) -> None:
     """Clean one source batch and put it into staging with lineage columns; incomplete rows go to ``sale_rejects``."""
     require_columns(raw, [f.name for f in SALES_SCHEMA.fields if f.name != "load_batch_id"], "sales batch")
-    clean = CL.clean_sales(raw.drop("load_batch_id"), category_map)
+    write_staged(CL.clean_sales(raw.drop("load_batch_id"), category_map), base, batch_id, source_file)
+
+
+def staged_parts(clean: DataFrame, batch_id: str, source_file: str | None = None) -> dict[str, DataFrame]:
+    """``staging`` and ``sale_rejects`` rows of a cleaned batch, with lineage: rows without a key field are kept apart, not lost."""
     staged = with_lineage(clean, batch_id, source_file)
     staged = staged.withColumn("row_hash", CL.row_hash([f.name for f in SALES_SCHEMA.fields
                                                         if f.name != "load_batch_id"]))
-    # staging a batch again replaces it; rows without a key field are kept apart, not lost
-    for name, part in (("staging", CL.drop_incomplete(staged)), ("sale_rejects", CL.incomplete(staged))):
-        drop_partition(raw.sparkSession, base, name, load_batch_id=batch_id)
+    return {"staging": CL.drop_incomplete(staged), "sale_rejects": CL.incomplete(staged)}
+
+
+def write_staged(clean: DataFrame, base: str, batch_id: str, source_file: str | None = None) -> None:
+    """Put a cleaned batch into its partitions of staging and rejects; staging a batch again replaces it."""
+    for name, part in staged_parts(clean, batch_id, source_file).items():
+        drop_partition(clean.sparkSession, base, name, load_batch_id=batch_id)
         # sorted within each file by date, then customer: Parquet min/max statistics let
         # date-window scans skip row groups (no shuffle: a per-task sort)
         (part.sortWithinPartitions("sale_date", "customer_name")

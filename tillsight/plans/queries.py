@@ -279,7 +279,9 @@ def q_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict:
     from tillsight.plans import model_queries as MQ
     from tillsight.plans import pipeline_queries as PQ
+    from tillsight.plans import published_queries as WQ
     out = {k: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
     out.update(MQ.registry())
     out.update(PQ.registry())
+    out.update(WQ.registry())
     return out

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tillsight import constants as K
 from tillsight.operators import cleaning as CL
+from tillsight.plans.pipeline import write_staged
 from tillsight.session import checkpoint_dir
 from tillsight.sources.sales import SALES_SCHEMA
 
@@ -23,13 +24,8 @@ from tillsight.sources.sales import SALES_SCHEMA
 def _writer(base: str, batch_prefix: str, category_map: Mapping[str, str]):
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch_id = f"{batch_prefix}{epoch_id:08d}"
-        clean = CL.drop_incomplete(CL.clean_sales(batch.drop("load_batch_id"), category_map))
-        staged = clean.withColumn("load_batch_id", F.lit(batch_id)).withColumn("loaded_at", F.current_timestamp())
-        staged = staged.withColumn("row_hash", CL.row_hash([f.name for f in SALES_SCHEMA.fields
-                                                            if f.name != "load_batch_id"]))
-        # a replayed micro-batch replaces its own partition
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_batch_id").parquet(f"{base.rstrip('/')}/staging"))
+        # a replayed micro-batch replaces its own partitions; incomplete rows go to ``sale_rejects``
+        write_staged(CL.clean_sales(batch.drop("load_batch_id"), category_map), base, batch_id)
     return write
 
 
