@@ -8,14 +8,14 @@
    boilerplate list nobody who has rarer ones.
 3. First pass: every member of a list against the list's most central member, whose values are on the longest lists.
    The union sketch estimates the similarity and drops pairs that cannot reach the threshold; the rest is confirmed on the
-   full sets. Links join into components.
-4. Second pass: lists that still hold several components, and the groups of components that such lists tie together. All
-   members outside the largest component of a group (or of each of its lists, where that takes fewer comparisons) meet all
-   its members, in blocks by blocks; again estimate first, full sets after. Pairs inside one component need no look, so a
-   large group of near copies costs about one comparison a member.
+   full sets. Members linked with the same one are one party.
+4. Second pass: lists that still hold several parties, those with one central member together. All members outside the
+   largest party (of the lists together, or of each list, where that takes fewer comparisons) meet all members, in blocks
+   by blocks; again sketches first, full sets after. Pairs of one party need no look, so a large group of near copies
+   costs about one comparison a member.
 
-No pairs leave a task of step 4, only a leader for each member. Every pair of one list is either compared or already in
-one component, so the components are those of all links.
+No pairs leave a task of step 4, only a leader for each member. Every pair of one list is either compared or linked
+through its party, so the components of what is found are those of all links.
 
 Edge cases: a null text has no words; a text without words has the empty set, is linked with nothing and is its own
 component; one or two words are one shingle. Rows without ``doc_id`` get null component and kept. Repeated rows are
@@ -160,22 +160,12 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def possible(left: list[np.ndarray], right: list[np.ndarray], kept: int = KEPT, percent: int = PERCENT) -> np.ndarray:
-    """The union-sketch estimate of every pair: whether the threshold is possible."""
-    least = seen_of_union(kept, percent)
-    out = np.zeros((len(left), len(right)), bool)
-    values = np.unique(np.concatenate([s[:kept] for s in left + right]))
-    here = np.zeros((len(right), len(values)), bool)
-    for j, s in enumerate(right):
-        here[j, np.searchsorted(values, s[:kept])] = True
-    for i, s in enumerate(left):
-        own = np.zeros(len(values), bool)
-        own[np.searchsorted(values, s[:kept])] = True
-        union, both = here | own, here & own
-        order = np.cumsum(union, axis=1)
-        size = np.minimum(order[:, -1], kept)
-        hits = (both & (order <= kept)).sum(axis=1)
-        out[i] = np.where(size < kept, 100 * hits >= percent * size, hits >= least)
-    return out
+    """The union-sketch estimate of all pairs of a tile, with all shared sketch values as hits: never below ``may_link``."""
+    shared = overlaps([s[:kept] for s in left], [s[:kept] for s in right])
+    n = [np.array([len(x) for x in s], np.int64) for s in (left, right)]
+    union = n[0][:, None] + n[1][None, :] - shared
+    whole = (n[0] < kept)[:, None] & (n[1] < kept)[None, :] & (union < kept)
+    return np.where(whole, 100 * shared >= percent * union, shared >= seen_of_union(kept, percent))
 
 
 def linked(sets: list[list[np.ndarray]], comps: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
@@ -184,11 +174,8 @@ def linked(sets: list[list[np.ndarray]], comps: list[np.ndarray], percent: int =
     link = (comps[0][:, None] != comps[1][None, :]) & (100 * np.minimum(n[0][:, None], n[1]) >= percent * np.maximum(n[0][:, None], n[1]))
     if link.sum() <= FEW:
         for i, j in zip(*np.nonzero(link)):
-            if link[i, j] and possible([sets[0][i]], [sets[1][j]], percent=percent)[0, 0]:
-                both = len(np.intersect1d(sets[0][i], sets[1][j], assume_unique=True))
-                link[i, j] = 100 * both >= percent * (n[0][i] + n[1][j] - both)
-            else:
-                link[i, j] = False
+            both = len(np.intersect1d(sets[0][i], sets[1][j], assume_unique=True))
+            link[i, j] = 100 * both >= percent * (n[0][i] + n[1][j] - both)
         return link
     link &= possible(*sets, percent=percent)
     rows, columns = np.flatnonzero(link.any(axis=1)), np.flatnonzero(link.any(axis=0))
@@ -200,7 +187,8 @@ def linked(sets: list[list[np.ndarray]], comps: list[np.ndarray], percent: int =
 
 
 def verified(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
-    """``u, v``: every member that is linked in one of these tiles, with the least node it is linked to. ``list, a, b, side, rep, comp, shingles``."""
+    """``u, v``: every member that is linked in one of these tiles, with the least node it is linked to (the other side's,
+    where that has one member). ``list, a, b, side, rep, comp, shingles``."""
     far, out = np.iinfo(np.int64).max, [np.zeros((0, 2), np.int64)]
     ids, comps, sides = (rows[c].to_numpy() for c in ("rep", "comp", "side"))
     blobs = rows["shingles"].to_numpy()
@@ -212,6 +200,10 @@ def verified(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
         link = linked(sets, [comps[t] for t in two], percent)
         if not link.any():
             continue
+        if len(two[0]) == 1:
+            mine = ids[two[1]][link[0]]
+            out.append(np.column_stack([mine, np.full(len(mine), ids[two[0][0]])]))
+            continue
         lead, before = [ids[t].copy() for t in two], None
         while before is None or any((x != y).any() for x, y in zip(lead, before)):
             before = [x.copy() for x in lead]
@@ -243,11 +235,16 @@ def _block(blocks: Column) -> Column:
 TILE = ["list", "a", "b", "side", "rep", "key", "comp", "n_shingles"]
 
 
+def with_hubs(lists: DataFrame) -> DataFrame:
+    """The lists of two members or more, each row with the list's most central member (a written table)."""
+    hubs = lists.groupBy("value").agg(F.min(F.struct((-F.col("central")).alias("out"), "rep", "key", "n_shingles")).alias("hub"), F.count("*").alias("n")).where("n > 1")
+    return written(lists.join(hubs, "value").select("value", "rep", "key", "n_shingles", F.col("hub.rep").alias("hub"), F.col("hub.key").alias("hub_key"),
+                                                    F.col("hub.n_shingles").alias("hub_shingles")), "hubs")
+
+
 def first_pass(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """Tiles of every list's most central member against the others that the union sketch leaves (a written table)."""
-    hubs = lists.groupBy("value").agg(F.min(F.struct((-F.col("central")).alias("out"), "rep", "key", "n_shingles")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    pairs = lists.join(hubs, "value").where(F.col("key") != F.col("hub.key")).select(
-        "rep", "key", "n_shingles", F.col("hub.rep").alias("hub"), F.col("hub.key").alias("hub_key"), F.col("hub.n_shingles").alias("hub_shingles")).distinct()
+    pairs = lists.where("key <> hub_key").select("rep", "key", "n_shingles", "hub", "hub_key", "hub_shingles").distinct()
     one, two = classes.select("key", "sketch"), classes.select(F.col("key").alias("hub_key"), F.col("sketch").alias("hub_sketch"))
     left = written(pairs.join(one, "key").join(two, "hub_key").where(may_link(F.col("sketch"), F.col("hub_sketch"))).drop("sketch", "hub_sketch"), "pairs")
     counts = left.groupBy("hub_key").agg(_blocks(F.count("*"), F.sum("n_shingles")).alias("blocks"))
@@ -266,31 +263,37 @@ def _open(members: DataFrame, unit: str) -> DataFrame:
                                    F.expr("bit_xor(x)").alias("x"), F.expr("bit_xor(y)").alias("y")).where("comps > 1")
 
 
-def second_pass(lists: DataFrame, tied: DataFrame) -> DataFrame:
-    """Tiles of the members outside the largest component of a group, or of its lists, against all its members (a written table)."""
-    known = lists.join(tied.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root", "central")
+def parties(edges: DataFrame) -> DataFrame:
+    """``u, comp``: nodes with a node that they are linked to, directly or by way of one other."""
+    one = edges.groupBy("u").agg(F.min("v").alias("v"))
+    two = one.select(F.col("u").alias("v"), F.col("v").alias("w"))
+    return one.join(two, "v", "left").select("u", F.least("v", F.coalesce("w", "v")).alias("comp"))
+
+
+def second_pass(lists: DataFrame, edges: DataFrame) -> DataFrame:
+    """Tiles of the members outside the largest party of a group of lists, or of each list, against all members (a written table)."""
+    known = lists.select("value", "hub_key", "rep", "key", "n_shingles").join(parties(edges).withColumnRenamed("u", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     open_lists = _open(known, "value")
     cost = (F.col("n") - F.col("main.n")) * F.col("n")
-    met = written(known.join(open_lists.select("value", "least"), "value"), "open")
-    groups = components(met.select(F.col("comp").alias("u"), F.col("least").alias("v")).distinct()).withColumnRenamed("u", "comp").withColumnRenamed("v", "g")
-    met = met.join(groups, "comp", "left").withColumn("group", F.coalesce("g", "comp")).drop("g", "least")
-    members = met.select("group", "rep", "key", "n_shingles", "comp").distinct()
-    of = met.select("value", "group").distinct()
+    met = written(known.join(open_lists.select("value"), "value"), "open")
+    members = met.select(F.col("hub_key").alias("group"), "rep", "key", "n_shingles", "comp").distinct()
+    of = met.select("value", F.col("hub_key").alias("group")).distinct()
     by_list = open_lists.join(of, "value").groupBy("group").agg(F.sum(cost).alias("by_list"))
-    sizes = _open(members, "group").withColumn("whole", cost).join(by_list, "group")
-    whole = sizes.where((F.col("n") <= BLOCK) | (F.col("whole") <= F.col("by_list")))
-    apart = sizes.join(whole.select("group"), "group", "left_anti").select("group").join(of, "group").join(open_lists, "value")
+    sizes = written(_open(members, "group").withColumn("whole", cost).join(by_list, "group"), "groups")
+    together = (F.col("n") <= BLOCK) | (F.col("whole") <= F.col("by_list"))
+    whole = sizes.where(together)
+    apart = sizes.where(~together).select("group").join(of, "group").join(open_lists, "value")
     # lists with the same members are looked at once
     apart = apart.groupBy("n", "x", "y").agg(F.min(F.struct("value", "main", "w")).alias("l")).select("n", "l.*")
 
     def tiles(rows: DataFrame, units: DataFrame, unit: str, mark: str) -> DataFrame:
         cut = units.select(unit, F.col("main.comp").alias("largest"), _blocks(F.col("n") - F.col("main.n"), F.col("w") - F.col("main.w")).alias("rows"), _blocks(F.col("n"), F.col("w")).alias("columns"))
-        dealt = rows.join(cut, unit).withColumn("list", F.encode(F.concat(F.lit(mark), F.col(unit).cast("string")), "utf-8"))
+        dealt = rows.join(cut, unit).withColumn("list", F.concat(F.lit(mark).cast("binary"), F.col(unit).cast("string").cast("binary") if unit == "value" else F.col(unit)))
         everyone = dealt.withColumn("a", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))).withColumn("b", _block(F.col("columns"))).withColumn("side", F.lit(1))
         others = dealt.where("comp <> largest").withColumn("a", _block(F.col("rows"))).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("columns") - 1))).withColumn("side", F.lit(0))
         return everyone.select(*TILE).unionByName(others.select(*TILE))
 
-    return written(tiles(members, whole, "group", "g").unionByName(tiles(met.drop("group"), apart, "value", "v")), "tiles")
+    return written(tiles(members, whole, "group", "g").unionByName(tiles(met.drop("hub_key"), apart, "value", "v")), "tiles")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -300,19 +303,17 @@ def near_copies(docs: DataFrame) -> DataFrame:
     classes = written(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")), "classes")
     again = written(known.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).where("n > 1"), "again")
     repeats = not again.isEmpty()
-    lists = inverted_lists(classes)
+    lists = with_hubs(inverted_lists(classes))
 
     def links(tiles: DataFrame) -> DataFrame:
         return links_of(tiles, sets_of(docs, written(tiles.select("rep").distinct(), "asked"), repeats))
 
     edges = links(first_pass(lists, classes))
+    edges = edges.unionByName(links(second_pass(lists, edges)))
     if repeats:  # unlike texts under one id: the id joins the classes of its texts
         unlike = known.join(again.where("lo <> hi").select("doc_id"), "doc_id", "left_semi").select("doc_id", "key")
-        edges = written(edges.unionByName(unlike.join(classes.select("key", "rep"), "key").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))), "edges")
+        edges = edges.unionByName(unlike.join(classes.select("key", "rep"), "key").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
     tied = components(edges)
-    more = links(second_pass(lists, tied))
-    if not more.isEmpty():
-        tied = components(tied.unionByName(more))
     found = classes.select("key", "rep").join(tied.withColumnRenamed("u", "rep"), "rep", "left").select("key", F.coalesce("v", "rep").alias("component_id"))
     mine = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return sketch.select("doc_id", "n_shingles", "key").join(found, "key", "left").select("doc_id", "n_shingles", mine.alias("component_id"), (F.col("doc_id") == mine).alias("kept"))
