@@ -220,8 +220,9 @@ def repeated_anchors(table: DataFrame, kind: Kind, most: int = MANY) -> tuple[Da
                 r = runs(sym, counts, kind)
                 keys, many = distinct_keys(r, order_of(chunk), kind)
                 n = variants(sym, r, keys, kind)
-                cut = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-                rows = [(b, c, keys[x:y].tobytes(), np.packbits(many[x:y]).tobytes(), several(n[x:y])) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
+                bucket = bucket_of(keys, buckets)
+                cut = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(keys)] if len(keys) else [0]  # the buckets that its keys touch
+                rows = [(int(bucket[x]), c, keys[x:y].tobytes(), np.packbits(many[x:y]).tobytes(), several(n[x:y])) for x, y in zip(cut, cut[1:])]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -266,10 +267,9 @@ def repeated_runs(chunk: Chunk, masks: list[dict], buckets: int, kind: Kind, hot
     sym, counts = symbols(chunk, kind)
     r = runs(sym, counts, kind)
     keys, where = np.unique(r.key, return_inverse=True)
-    cut = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-    on = np.zeros(len(keys), bool)
-    for m in masks:
-        x, y = cut[m["bucket"]], cut[m["bucket"] + 1]
+    touched = np.array([m["bucket"] for m in masks], np.int64)
+    bucket, on = bucket_of(keys, buckets), np.zeros(len(keys), bool)
+    for m, x, y in zip(masks, np.searchsorted(bucket, touched, "left"), np.searchsorted(bucket, touched, "right")):
         many = np.unpackbits(np.frombuffer(m["hot"], np.uint8), count=y - x).astype(bool) if m["hot"] else np.zeros(y - x, bool)
         on[x:y] = many if hot else np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=y - x).astype(bool) & ~many
     keep = on[where]

@@ -30,10 +30,13 @@ from pyspark.sql import functions as F
 from . import repeats
 from .common import map_batches, sized, written
 from .repeats import Chunk, Kind
+from .shingling import mix
 
 LENGTH, GRAM = 50, 16
-#: Bytes of text for each bucket of suffixes, and chunks that the splitters are sampled from at most.
-PART, SAMPLE_CHUNKS = 6_000_000, 32
+#: Bytes of text for each bucket of suffixes; splitters at most; sampled anchors a chunk and a splitter.
+PART, MOST_PARTS, OF_CHUNK, OF_SPLITTER = 6_000_000, 1_000_000, 512, 8
+#: Slices, and windows of differing slices, that a task sorts at a time, besides those of one anchor.
+TURN, WINDOWS = 120_000, 250_000
 
 
 def characters(data: np.ndarray, starts: np.ndarray, offsets, before: tuple = ()) -> np.ndarray:
@@ -86,13 +89,18 @@ class Slices:
 
     def packed(self) -> bytes:
         head = struct.pack("<3Q", len(self.key), len(self.text), len(self.place))
+        count = struct.pack("<Q", len(self.key))  # before the compressed bytes, to be read without them
         parts = (self.key.astype("<u8"), self.low.astype("<i8"), self.high.astype("<i8"), self.size.astype("<u2"), self.count.astype("<u4"),
                  self.place.astype("<i8"), self.text)
-        return zstandard.ZstdCompressor(level=1).compress(head + b"".join(x.tobytes() for x in parts))
+        return count + zstandard.ZstdCompressor(level=1).compress(head + b"".join(x.tobytes() for x in parts))
+
+    @staticmethod
+    def count_of(data: bytes) -> int:
+        return struct.unpack_from("<Q", data)[0]
 
     @staticmethod
     def unpacked(data: bytes) -> Slices:
-        data = zstandard.ZstdDecompressor().decompress(data)
+        data = zstandard.ZstdDecompressor().decompress(memoryview(data)[8:])
         n, n_text, n_place = struct.unpack_from("<3Q", data)
         out, at = [], 24
         for kind, k in (("<u8", n), ("<i8", n), ("<i8", n), ("<u2", n), ("<u4", n), ("<i8", n_place), ("u1", n_text)):
@@ -129,8 +137,9 @@ def chunk_slices(chunk: Chunk, masks: list[dict], buckets: int, kind: Kind) -> t
     return Slices(r.key[first], low, high, n, text, count, place), leads(data, r.anchor[first], kind.gram)
 
 
-def sampled_splitters(table: DataFrame, kind: Kind, parts: int, sample: int = SAMPLE_CHUNKS) -> np.ndarray:
-    """Quantiles of the anchor strings in at most ``sample`` chunks, 512 anchors each."""
+def sampled_splitters(table: DataFrame, kind: Kind, parts: int) -> np.ndarray:
+    """Quantiles of the anchor strings in a sample of chunks that grows with ``parts``: eight strings a splitter."""
+    sample = max(32, -(-parts * OF_SPLITTER // OF_CHUNK))
     schema = pa.schema([("lead", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,16 +148,16 @@ def sampled_splitters(table: DataFrame, kind: Kind, parts: int, sample: int = SA
                 chunk = Chunk.unpacked(data.as_py())
                 anchors = repeats.runs(*repeats.symbols(chunk, kind), kind).anchor
                 text = b"".join(chunk.texts)
-                lead = [text[x:x + kind.gram] for x in anchors[::max(1, len(anchors) // 512)][:512].tolist()]
+                lead = [text[x:x + kind.gram] for x in anchors[::max(1, len(anchors) // OF_CHUNK)][:OF_CHUNK].tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(lead, pa.binary())], schema=schema)
 
     chosen = table.orderBy(F.xxhash64("chunk")).limit(sample).select("chunk")
-    got = map_batches(table.join(F.broadcast(chosen), "chunk").select("data"), run, "lead binary").collect()  # 512 strings a chunk
+    got = map_batches(table.join(F.broadcast(chosen), "chunk").select("data"), run, "lead binary").collect()  # at most MOST_PARTS * OF_SPLITTER strings
     lead = np.sort(np.array([bytes(r["lead"]) for r in got], f"S{kind.gram}"))
-    return lead[np.linspace(0, len(lead) - 1, parts + 1).astype(int)[1:-1]] if len(lead) else lead
+    return np.unique(lead[np.linspace(0, len(lead) - 1, parts + 1).astype(int)[1:-1]]) if len(lead) else lead
 
 
-def decide(s: Slices, length: int = LENGTH, most: int = 400_000) -> tuple[np.ndarray, ...]:
+def decide(s: Slices, length: int = LENGTH, most: int = WINDOWS) -> tuple[np.ndarray, ...]:
     """(row, first, last, least): intervals of a slice's windows whose string starts in the document ``least``, for
     slices that a larger document holds too."""
     n = len(s.key)
@@ -200,11 +209,29 @@ def decide(s: Slices, length: int = LENGTH, most: int = 400_000) -> tuple[np.nda
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def answers_of(rows: pd.DataFrame, length: int = LENGTH) -> pd.DataFrame:
-    """Answers of one bucket: rows ``chunk, blob`` in, one binary of intervals a chunk out."""
-    parts = [Slices.unpacked(b) for b in rows["blob"]]
+def answers_of(rows: pd.DataFrame, length: int = LENGTH, turn: int = TURN) -> pd.DataFrame:
+    """Answers of one bucket: rows ``chunk, blob`` in, binaries of intervals by chunk out.
+
+    Equal strings have equal anchors, so the bucket is sorted in turns by anchor hash: of all blobs a turn holds only its
+    share of the slices, however large the bucket.
+    """
+    blobs, chunks = rows["blob"].to_numpy(), rows["chunk"].to_numpy(np.int64)
+    turns = max(1, -(-sum(Slices.count_of(b) for b in blobs) // turn))
+    out = [one_turn(blobs, chunks, np.uint64(t), np.uint64(turns), length) for t in range(turns)]
+    return pd.concat(out, ignore_index=True)
+
+
+def one_turn(blobs: np.ndarray, chunks: np.ndarray, t: np.uint64, turns: np.uint64, length: int) -> pd.DataFrame:
+    parts, sizes = [], []
+    for b in blobs:
+        p = Slices.unpacked(b)
+        parts.append(p if turns == 1 else p.take(np.flatnonzero(mix(p.key) % turns == t)))
+        sizes.append(len(parts[-1].key))
     s = Slices(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("key", "low", "high", "size", "text", "count", "place")))
-    chunk = np.repeat(rows["chunk"].to_numpy(np.int64), [len(p.key) for p in parts])
+    del parts
+    if not len(s.key):
+        return pd.DataFrame({"chunk": np.zeros(0, np.int64), "answer": []})
+    chunk = np.repeat(chunks, sizes)
     row, first, last, least = decide(s, length)
     n = s.count[row]
     place = s.place[ranges(s.count, row)]
@@ -256,7 +283,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bo
     table = repeats.chunks(marked.where(~copy).select("doc_id", "text"))
     total = table.agg(F.sum("n_bytes")).first()[0] or 0
     masks, buckets, many = repeats.repeated_anchors(table, kind, most)
-    parts = max(32, -(-total // PART))
+    parts = min(max(32, -(-total // PART)), MOST_PARTS)
     splitters = sampled_splitters(table, kind, parts)
     schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("blob", pa.binary())])
 
