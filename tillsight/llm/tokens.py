@@ -33,11 +33,17 @@ def packed(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    def __init__(self, path: str, units: str):
+    """Ids of whole texts as ``tokenizer.encode(text, add_special_tokens=False)`` gives them. With ``special_text`` the
+    string of a special token in a text is ordinary text instead of that token."""
+
+    def __init__(self, path: str, units: str, special_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+        # units are encoded as ordinary text; a text with a special token's string goes to the library whole
+        self.tokenizer.encode_special_tokens = True
+        self.plain = Tokenizer.from_file(path)
+        self.special = [] if special_text else [a.content for a in self.plain.get_added_tokens_decoder().values() if a.special]
         self.words = units == "words"
         self.cut = (lambda t: t.encode().split()) if self.words else BLANKS.findall
         # a blank and Latin letters as the byte-level step writes them
@@ -93,6 +99,10 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of every text; unknown units of all texts are learnt together."""
+        whole = {k for k, t in enumerate(texts) if any(x in t for x in self.special)}
+        if whole:
+            rest = iter(self.encode_all([t for k, t in enumerate(texts) if k not in whole]))
+            return [packed(self.plain.encode(t, add_special_tokens=False).ids) if k in whole else next(rest) for k, t in enumerate(texts)]
         cut = [self.cut(t) for t in texts]
         missing = set().union(*cut).difference(self.young)
         known, learnt = self.young, self._learn(missing) if missing else {}
