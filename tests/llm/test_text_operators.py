@@ -98,6 +98,27 @@ def test_one_of_each(docs, rows, no_docs):
     assert ngram_join.near_copies(no_docs).count() == 0
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    rng = random.Random(9)
+    a, b, c = (" ".join(f"w{rng.randrange(500)}" for _ in range(60)) for _ in range(3))
+    rows = [(1, a, 1), (1, b, 2), (2, c, 3), (2, c, 4), (3, c, 5), (3, "short text", 6), (3, None, 7), (4, b, 8), (None, a, 9), (None, a, 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _llm_id long")      # a column named as helper columns are
+    left = ngram_join.one_of_each(df)
+    assert left.columns == df.columns
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in left.collect())
+    assert got == sorted([(1, a), (1, b), (2, c), (3, "short text"), (3, ""), (0, a), (0, a)])
+
+
+def test_contaminated_rows_go_alone(spark, docs):
+    rng = random.Random(10)
+    item = [f"w{rng.randrange(500)}" for _ in range(20)]
+    rows = [(None, "clean text of a row without an id and more", 1), (None, "see " + " ".join(item) + " end", 2), (7, "before " + " ".join(item[:13]), 3),
+            (7, " ".join(item[9:]) + " after", 4), (8, " ".join(item), 5), (8, "another clean text under that id here", 6), (9, None, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _llm_id long")
+    left = decontaminate.clean(df, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert left.columns == df.columns and sorted(r["_llm_id"] for r in left.collect()) == [1, 3, 4, 6, 7]
+
+
 def test_prefix_length_reaches_recall():
     k = ngram_join.prefix_length()
     assert 1 - (1 - 0.8**k) ** ngram_join.TREES >= ngram_join.RECALL > 1 - (1 - 0.8**(k + 1)) ** ngram_join.TREES
@@ -215,7 +236,7 @@ def test_long_secrets_are_added_and_masked(spark, size):
     assert (16, 16 + len(secret), "secret") in pii.find(text, trained)
 
 
-def test_suffix_dedup(docs, rows, no_docs):
+def test_suffix_dedup(docs, rows, no_docs, monkeypatch):
     small = docs.where("doc_id is null or doc_id <> 48")
     kept_rows = [(i, t) for i, t in rows if i != 48]
     want = []
@@ -224,6 +245,9 @@ def test_suffix_dedup(docs, rows, no_docs):
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         want.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     assert bag(map(tuple, suffix_dedup.dedup(small, with_kept=False).collect())) == bag(want)
+    monkeypatch.setattr(suffix_dedup.answers_of, "__defaults__", (suffix_dedup.LENGTH, 40))     # many turns a bucket
+    monkeypatch.setattr(suffix_dedup, "OF_SPLITTER", 10_000)
+    assert bag(map(tuple, suffix_dedup.dedup(small, with_kept=False).collect())) == bag(want)
     assert sum(w[2] for w in want) > 0
     assert suffix_dedup.dedup(no_docs).count() == 0
 

@@ -107,9 +107,11 @@ def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOL
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that contain no test item."""
-    bad = written(contained(docs, benchmark, threshold).select(F.col("doc_id").alias("_llm_id")).distinct(), "contaminated")
-    return docs.join(sized(bad), docs["doc_id"].eqNullSafe(F.col("_llm_id")), "left_anti")
+    """The documents that contain no test item, each row judged by its own text, whatever rows share its id."""
+    row = F.struct("doc_id", F.xxhash64("text").alias("text"))
+    whole = docs.select(row.alias("_llm_row"), F.struct(*docs.columns).alias("_llm_doc"))  # extra columns may have any name
+    bad = written(contained(docs.select(row.alias("doc_id"), "text"), benchmark, threshold).select(F.col("doc_id").alias("_llm_bad")).distinct(), "contaminated")
+    return whole.join(sized(bad), F.col("_llm_row").eqNullSafe(F.col("_llm_bad")), "left_anti").select("_llm_doc.*")
 
 
 ORACLE = """

@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_batches, sized, written
 from .components import components
@@ -148,6 +149,11 @@ def verify(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 def near_copies(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """One row per document: ``doc_id, class_id, rep_id, n_links, n_copies``."""
+    return _classes(docs, threshold, recall, block).drop("key")
+
+
+def _classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+    """The rows of ``near_copies`` with the ``key`` of the row's shingle set."""
     percent = round(100 * threshold)
     sketch = written(sketches(docs, prefix_length(threshold, recall)), "sketch")
     classes = written(
@@ -191,7 +197,7 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
                 F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"), "linked")
     seen = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))
     return sketch.select("doc_id", "key").join(found, "key", "left").select(
-        "doc_id", seen.alias("class_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep_id", "doc_id")).alias("rep_id"),
+        "key", "doc_id", seen.alias("class_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep_id", "doc_id")).alias("rep_id"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("n_copies", F.lit(1))).cast("long").alias("n_copies"))
 
@@ -202,11 +208,33 @@ def _repeats(sketch: DataFrame) -> bool:
     return r["n"] != r["d"]
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``_row`` with ``doc_id``, ``text`` and the key of the text's shingle set."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("key", T.BinaryType())])
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t.as_py() or "") for t in batch.column("text")]
+            keys = pa.array([_key(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "key"])
+
+    return map_batches(rows, run, schema)
+
+
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The least document of every class, once; rows without an id stay."""
-    found = written(near_copies(docs, threshold), "near")
-    drop = found.where("doc_id <> class_id").select(F.col("doc_id").alias("_llm_id")).distinct()
-    left = docs.join(sized(written(drop, "copies")), docs["doc_id"] == F.col("_llm_id"), "left_anti")
-    if _repeats(found):
-        left = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
-    return left
+    """The least document of every class, once; rows without an id stay.
+
+    Rows that share an id are told apart by their shingle sets: of those with the same set one stays, unlike texts stay
+    or go by their own classes."""
+    found = written(_classes(docs, threshold), "near")
+    drop = written(found.where("doc_id <> class_id").select(F.col("doc_id").alias("_llm_id")).distinct(), "copies")
+    again = written(found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_llm_id")).agg(F.count("*").alias("n")).where("n > 1").select("_llm_id"), "again")
+    whole = docs.select(F.col("doc_id").cast("long").alias("_llm_doc_id"), F.col("text").alias("_llm_text"), F.struct(*docs.columns).alias("_row"))  # any column names
+    on = F.col("_llm_doc_id") == F.col("_llm_id")
+    if again.isEmpty():
+        return whole.join(sized(drop), on, "left_anti").select("_row.*")
+    single = whole.join(sized(again), on, "left_anti").join(sized(drop), on, "left_anti").select("_row.*")
+    several = _keyed(whole.join(sized(again), on, "left_semi").select(F.col("_llm_doc_id").alias("doc_id"), F.col("_llm_text").alias("text"), "_row"))
+    kept = found.join(sized(again), F.col("doc_id") == F.col("_llm_id"), "left_semi").where("doc_id = class_id").select("doc_id", "key").distinct()
+    one = several.join(kept.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), (F.col("doc_id") == F.col("_id")) & F.col("key").eqNullSafe(F.col("_key")), "left_semi")
+    return single.unionByName(one.groupBy("doc_id", "key").agg(F.min_by("_row", F.struct("text")).alias("_row")).select("_row.*"))
