@@ -28,6 +28,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import map_batches, sized, written
 
@@ -108,7 +109,7 @@ def members(data: bytes, step: int = 1 << 14) -> Iterator[bytes]:
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write the files; the manifest (a written table): ``file, n_records``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    rows = written(rows.select("*", F.sha1(F.encode("html", "utf-8")).alias("sha"), F.monotonically_increasing_id().alias("rid")), "pages")
+    rows = written(rows.select("*", F.concat_ws(":", F.octet_length("html"), F.sha2(F.encode("html", "utf-8"), 256)).alias("sha"), F.monotonically_increasing_id().alias("rid")), "pages")
     same = rows.groupBy("sha").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "rid")).alias("m"), F.count("*").alias("n"))
     same = written(same.where("n > 1").select(F.col("sha").alias("_sha"), F.col("m.rid").alias("first_rid")), "repeats")
     rows = rows.join(sized(same), F.col("sha") == F.col("_sha"), "left").select(
@@ -177,6 +178,21 @@ def _batch(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), RECORDS)], schema=RECORDS)
 
 
+def _joined(parts: DataFrame) -> DataFrame:
+    """``blocks`` joined to ``block`` in one go, whatever their number."""
+    schema = T.StructType([f for f in parts.schema.fields if f.name != "blocks"] + [T.StructField("block", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):  # a record may be as large as a task can hold: one at a time
+                row = batch.slice(k, 1)
+                block = b"".join(x.as_py() or b"" for x in row.column("blocks")[0])
+                rest = [n for n in row.schema.names if n != "blocks"]
+                yield pa.RecordBatch.from_arrays([*[row.column(n) for n in rest], pa.array([block], pa.binary())], names=[*rest, "block"])
+
+    return map_batches(parts, run, schema)
+
+
 def reassembled(found: DataFrame) -> DataFrame:
     """Records with whole blocks and ``status``: segments grouped by origin (a record's own segments only) and ordered."""
     single = found.where("type <> 'continuation' AND number IS NULL").withColumn("status", F.lit("ok"))
@@ -184,9 +200,9 @@ def reassembled(found: DataFrame) -> DataFrame:
     whole = parts.groupBy("_key").agg(
         F.array_sort(F.collect_list(F.struct("number", "block"))).alias("s"), F.max("total").alias("total"),
         *[F.max(F.when(F.col("type") != "continuation", F.col(c))).alias(c) for c in ("type", "page_id", "url", "digest", "refers_to_id")])
-    joined = F.aggregate("s", F.lit(b""), lambda a, x: F.concat(a, x["block"]))
-    whole = whole.select(F.col("_key").alias("record_id"), "type", "page_id", "url", "digest", "refers_to_id", "total", joined.alias("block"),
-                         (F.transform("s", lambda x: x["number"]) == F.sequence(F.lit(1), F.size("s"))).alias("_run"))
+    whole = _joined(whole.withColumn("blocks", F.transform("s", lambda x: x["block"])).withColumn("numbers", F.transform("s", lambda x: x["number"])).drop("s"))
+    whole = whole.select(F.col("_key").alias("record_id"), "type", "page_id", "url", "digest", "refers_to_id", "total", "block",
+                         (F.col("numbers") == F.sequence(F.lit(1), F.size("numbers"))).alias("_run"))
     status = (F.when(F.col("type").isNull(), "no first segment").when(~F.col("_run"), "segment missing")
               .when(F.col("total").isNull() | (F.col("total") != F.octet_length("block")), "wrong total length").otherwise("ok"))
     cols = ["record_id", "type", "page_id", "url", "digest", "refers_to_id", "block", "status"]
