@@ -717,6 +717,66 @@ def q_snapshot_incremental() -> str:
     return q_multi_snapshot()
 
 
+# ------------------------------------------------- dashboard in one pass, checks, versions
+
+def q_dashboard_cube() -> str:
+    return _with(SALES, CLEANED) + """select year_month, segment, category_name, product_code, customer_name,
+  cast(grouping(year_month, segment, category_name, product_code, customer_name) as integer) as level, count(*) as transaction_count,
+  cast(sum(revenue) as double) as revenue, cast(sum(profit) as double) as profit
+from (select strftime(sale_date, '%Y-%m') as year_month, segment_name as segment, category_name, product_code, customer_name, revenue, profit from cleaned)
+group by grouping sets ((segment), (category_name), (product_code), (year_month), (segment, customer_name), (year_month, segment), (year_month, segment, customer_name), ())"""
+
+
+def q_customers_pivot() -> str:
+    each = ", ".join(f"count(distinct customer_name) filter (segment_name = '{s}') as \"{s}\"" for s in P.SEGMENTS)
+    return _with(SALES, CLEANED) + f"select strftime(sale_date, '%Y-%m') as year_month, {each} from cleaned group by 1"
+
+
+def q_monthly_growth() -> str:
+    return _with(SALES, """m as (select date_trunc('month', sale_date)::date as month, count(*) as n, sum(revenue) as r from sales
+  where strftime(sale_date, '%Y-%m') <> '1996-02' group by 1),
+c as (select unnest(generate_series((select min(month) from m), (select max(month) from m), interval 1 month))::date as month),
+f as (select c.month, coalesce(n, 0) as n, cast(coalesce(r, 0) as double) as r from c left join m on m.month = c.month)""") + """
+select strftime(month, '%Y-%m') as year_month, n as transaction_count, r as revenue, lag(r) over (order by month) as revenue_before,
+       round((r - lag(r) over (order by month)) / nullif(lag(r) over (order by month), 0), 9) as growth from f"""
+
+
+def q_customer_sketches() -> str:
+    return _with(SALES, CLEANED) + "select strftime(sale_date, '%Y-%m') as year_month, count(distinct customer_name) as customers, true as within_bound from cleaned group by 1"
+
+
+def q_collated_customers() -> str:
+    return _with(SALES) + """select lower(customer_name) as customer_name, count(*) as transaction_count, cast(sum(revenue) as double) as revenue
+from sales where customer_name is not null group by 1"""
+
+
+def q_load_checks() -> str:
+    from tillsight.plans.fixtures import NOT_NULL_COLUMNS
+    nulls = "\n".join(f"union all select 'staging', 'null_{c}', cast(count(*) filter ({c} is null) as double) from staged" for c in NOT_NULL_COLUMNS)
+    both = "\nunion all ".join(f"select '{t}' as table_name, 'row_count' as metric, cast(count(*) as double) as value from staged "
+                               f"union all select '{t}', 'sum_revenue', cast(sum(revenue) as double) from staged "
+                               f"union all select '{t}', 'sum_profit', cast(sum(profit) as double) from staged" for t in ("staging", "fact_sales"))
+    zero = " ".join(f"union all select 'fact_sales', '{m}', 0.0" for m in ("null_date_key", "null_customer_key", "null_product_key", "wrong_date_key"))
+    return _with(SALES, CLEANED) + f"{both} {nulls} {zero}"
+
+
+def q_model_versions() -> str:
+    from tillsight.plans.fixtures import PSEUDO_MODELS
+    scored = " union all ".join(f"select snapshot_date, churn_label, '{m}' as model_name, {pseudo(a, b)} as p from labeled" for m, (a, b) in PSEUDO_MODELS.items())
+    return _with(SALES, features_ctes(P.ALL_MONTH_ENDS), labels_cte(), f"""scored as ({scored}),
+counts as (select snapshot_date, model_name, p, count(*) filter (churn_label = 1) as pos, count(*) filter (churn_label <> 1) as neg from scored group by all),
+ranked as (select *, sum(neg) over (partition by snapshot_date, model_name order by p desc) as fp from counts),
+aucs as (select snapshot_date, model_name, round(1.0 - cast(sum(pos * (2 * fp - neg)) as double) / nullif(cast(2 * sum(pos) * sum(neg) as double), 0), 9) as roc_auc from ranked group by all),
+best as (select * from aucs where roc_auc is not null qualify row_number() over (partition by snapshot_date order by roc_auc desc, model_name) = 1),
+marked as (select *, case when lag(model_name) over (order by snapshot_date) = model_name then 0 else 1 end as new from best)""") + """
+select snapshot_date as selected_on, model_name, roc_auc, cast(sum(new) over (order by snapshot_date) as integer) as model_version,
+       lead(snapshot_date) over (order by snapshot_date) is null as is_active from marked"""
+
+
+def q_bucketed_customers() -> str:
+    return _with(SALES, features_ctes([P.TEST_SNAPSHOT])) + f"select *, {pseudo()} as churn_prob from features"
+
+
 def build() -> dict[str, str]:
     """All oracle texts, keyed like ``__spark_entry__.queries()``."""
     from tillsight.plans import model_oracle

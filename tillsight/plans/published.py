@@ -27,9 +27,13 @@ from tillsight import constants as K
 from tillsight.operators import cleaning as CL
 from tillsight.operators import daystates as DS
 from tillsight.operators import warehouse as WH
+from tillsight.operators.checks import Checks
 from tillsight.plans.pipeline import FACT_SORT, NEWEST, staged_parts
 from tillsight.sources.sales import SALES_SCHEMA, require_columns
 
+#: Columns that may hold no null; a load that finds one fails.
+STAGED_NOT_NULL = ("source_row_id", "product_code", "sale_date", "customer_name")
+FACT_NOT_NULL = ("date_key", "customer_key", "product_key")
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 LEDGER = "load string, load_batch_id string, pipeline string, source_file_name string, event int, status string, at string, rows_loaded long, rows_rejected long, version long, error string"
 #: Partition value column of the written folders (a copy: the table's own column stays in its files).
@@ -202,7 +206,7 @@ def load_batch(warehouse: Warehouse, raw: DataFrame, batch_id: str, source_file:
         parts = staged_parts(CL.clean_sales(raw.drop("load_batch_id"), category_map), batch_id, source_file)
         staging = load.write(parts["staging"], "staging", "load_batch_id", ("sale_date", "customer_name"), [batch_id])
         rejects = load.write(parts["sale_rejects"], "sale_rejects", "load_batch_id", (), [batch_id])
-        load.rows_loaded, load.rows_rejected = staging.count(), rejects.count()
+        load.rows_loaded, load.rows_rejected = Checks("staging", STAGED_NOT_NULL).require(staging)["row_count"], rejects.count()
 
         step("dim_date")
         first, last = WH.batch_date_range(staging, batch_id)
@@ -224,7 +228,7 @@ def load_batch(warehouse: Warehouse, raw: DataFrame, batch_id: str, source_file:
             months |= {r[0] for r in moved.select("sale_month").distinct().collect()}
             new = WH.upsert(load.read("fact_sales", months).select(*new.columns), new, key)
             days = days.union(moved.select("date_key")).distinct()
-        load.write(new, "fact_sales", "sale_month", FACT_SORT, months)
+        Checks("fact_sales", FACT_NOT_NULL).require(load.write(new, "fact_sales", "sale_month", FACT_SORT, months))
 
         step("customer_days")
         touched = {r[0] for r in days.collect()}  # day keys, bounded by the calendar

@@ -277,6 +277,7 @@ def q_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict:
+    from tillsight.plans import dashboard_queries as DQ
     from tillsight.plans import model_queries as MQ
     from tillsight.plans import pipeline_queries as PQ
     from tillsight.plans import published_queries as WQ
@@ -284,4 +285,5 @@ def registry() -> dict:
     out.update(MQ.registry())
     out.update(PQ.registry())
     out.update(WQ.registry())
+    out.update(DQ.registry())
     return out
