@@ -41,6 +41,13 @@ def test_newton_fits_every_group_at_once(spark):
     assert logistic.newton(df.limit(0), {"u": F.col("u")}, F.col("y"), "g").values == {}
 
 
+def test_a_group_without_a_model_gets_no_score(spark):
+    df = spark.createDataFrame([("a", 1.0, 0), ("a", 2.0, 1), ("a", 0.5, 1), ("b", 1.0, 1)], "g string, x double, y int")
+    fitted = logistic.newton(df.where("g = 'a'"), {"x": F.col("x")}, F.col("y"), "g")
+    got = logistic.with_margin(df, fitted, [F.col("x")], "m").select("g", logistic.probability(F.col("m")).alias("p")).collect()
+    assert all((r["p"] is None) == (r["g"] == "b") for r in got)
+
+
 def test_platt_by_fold(spark):
     rng = np.random.default_rng(4)
     rows, want = [], {}
