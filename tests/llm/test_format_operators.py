@@ -3,20 +3,21 @@
 import base64
 import hashlib
 import random
-import time
 import tempfile
+import time
 import zlib
 from collections import defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow.fs as pafs
 import pytest
-from tokenizers import Tokenizer
-
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tillsight.llm import packing, token_codes, tokens, url_filter, warc
+from tillsight.llm.common import qualified, written
 
 from . import brute
 
@@ -240,6 +241,11 @@ def test_hostile_html_is_read_in_one_pass(spark):
     assert time.time() - began < 30
 
 
+def test_folders_are_resolved_as_spark_does(spark):
+    assert pafs.FileSystem.from_uri(qualified(spark, "/tmp/a b"))[1] == "/tmp/a b"
+    assert qualified(spark, "file:///tmp/x") == qualified(spark, "/tmp/x") == "file:///tmp/x"
+
+
 def test_a_large_record_is_reassembled(spark):
     n, piece = 400, bytes(range(256)) * 800
     rows = spark.range(n).select(
@@ -274,6 +280,21 @@ def walk(edges, seeds):
     return rank
 
 
+def test_pipeline_stages_on_odd_rows(spark, docs, no_docs):
+    import corpus_pipeline
+    odd = docs.withColumn("_llm_id", F.lit(1)).withColumn("_row", F.lit("r")).withColumn("_id", F.lit(2))
+    for table in (odd, odd.where("doc_id IS NULL"), no_docs.withColumn("_row", F.lit("r"))):
+        here = table
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            columns, here = here.columns, written(stage(spark, here, "/root/testdata/sf0.001"), "odd")
+            assert here.columns == columns
+        rows = here.select("doc_id", "text").collect()
+        assert all(len((r["text"] or "").split()) >= 50 for r in rows)
+        assert sum(r["doc_id"] is None for r in rows) == (0 if table is not odd and table.isEmpty() else 2)     # rows without an id stay, each by its own text
+        pieces = corpus_pipeline.STAGES[-1][1](spark, here, "/root/testdata/sf0.001").collect()
+        assert sum(r["length"] for r in pieces) == sum(len(ids_of(BYTES, r["text"])) + 1 for r in rows)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     sf = "/root/testdata/sf0.001"

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import re
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's full URI, as Spark resolves it: a bare path lies in Spark's default file system, local or not."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    return re.sub(r"^file:/(?!/)", "file:///", uri)
+
+
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a *written* table of numbers whose counted rows stay within ``limit``."""
     return F.broadcast(df) if df.count() <= limit else df
@@ -73,6 +83,14 @@ def ship(spark: SparkSession) -> None:
     sc._llm_shipped = True
 
 
+def release() -> None:
+    """Give memory that this worker has freed back to the system; allocators otherwise keep the peak of every task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path."""
     ship(df.sparkSession)

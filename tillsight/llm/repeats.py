@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, small, written
+from .common import map_batches, release, small, written
 from .shingling import mix, window_hashes, word_hashes
 
 CHUNK, SEGMENT, BUCKET = 2_000_000, 1 << 16, 24_000_000
@@ -254,6 +254,8 @@ def repeated_anchors(table: DataFrame, kind: Kind, most: int = MANY) -> tuple[Da
             if seen[at:at + n].any():
                 out.append((c, b, np.packbits(seen[at:at + n]).tobytes(), np.packbits(hot[at:at + n]).tobytes() if hot[at:at + n].any() else None))
             at += n
+        del parts, many, keys, order, s, same, twice, seen, number, hot
+        release()
         return pd.DataFrame(out, columns=["chunk", "bucket", "mask", "hot"])
 
     sent = map_batches(table.select("chunk", "data"), send, "bucket long, chunk long, keys binary, many binary, several binary")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
-from .common import map_batches, sized, written
+from .common import map_batches, release, sized, written
 from .repeats import Chunk, Kind
 from .shingling import mix
 
@@ -217,7 +217,10 @@ def answers_of(rows: pd.DataFrame, length: int = LENGTH, turn: int = TURN) -> pd
     """
     blobs, chunks = rows["blob"].to_numpy(), rows["chunk"].to_numpy(np.int64)
     turns = max(1, -(-sum(Slices.count_of(b) for b in blobs) // turn))
-    out = [one_turn(blobs, chunks, np.uint64(t), np.uint64(turns), length) for t in range(turns)]
+    out = []
+    for t in range(turns):
+        out.append(one_turn(blobs, chunks, np.uint64(t), np.uint64(turns), length))
+        release()
     return pd.concat(out, ignore_index=True)
 
 
@@ -297,6 +300,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_kept: bo
                     rows.append((int(p), c, s.take(np.flatnonzero(part == p)).packed()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
+                    del s, lead, part, rows
+                    release()
 
     suffixes = map_batches(table.select("chunk", "data").join(masks, "chunk"), send, "part int, chunk long, blob binary")
     answers = suffixes.groupBy("part").applyInPandas(lambda rows: answers_of(rows, length), "chunk long, answer binary")

@@ -12,6 +12,7 @@ the written manifest of finished tasks count, so lost or repeated attempts leave
 
 Edge cases: null and empty texts are the end id alone; null ids come first and are kept; repeated ids stay
 separate documents in the order of their text's hash; extra columns are ignored; an empty table has no shards.
+Texts of any length are encoded whole; one document's ids must fit into a task's memory.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_batches, sized, written
+from .common import map_batches, qualified, sized, written
 from .tokens import encoder
 
 MAGIC, BLOCK, SHARD = b"DACTOK01", 512, 1_000_000
@@ -117,17 +118,14 @@ class Shard:
         return self.run(int(self.starts[k]), int(self.starts[k + 1]))
 
 
-def _store(uri: str) -> tuple[pafs.FileSystem, str]:
-    return (pafs.LocalFileSystem(), uri) if uri.startswith("/") else pafs.FileSystem.from_uri(uri)
-
-
 def write_shards(docs: DataFrame, folder: str, path: str, units: str = "words", end_id: int = 2, shard: int = SHARD) -> DataFrame:
     """Write the files; the manifest (a written table): ``part, seq, file, n_docs, n_tokens``."""
+    uri = qualified(docs.sparkSession, folder)
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, part, end = encoder(path, units), TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
-        fs, root = _store(folder)
+        fs, root = pafs.FileSystem.from_uri(uri)
         ids, docs_in, counts, size, seq = [], [], [], 0, 0
 
         def close():

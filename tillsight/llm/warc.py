@@ -12,7 +12,8 @@ with ``status`` naming the fault and null payload. Revisits take payload length
 
 Edge cases: null html is an empty payload; null page ids come after all others when the response is chosen;
 of repeated rows of one page one is the response; null urls have no target header; extra columns are ignored;
-an empty table has no files.
+an empty table has no files. A page of any length is cut into segments and joined again in one go; one page at a time
+must fit into a task's memory.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_batches, sized, written
+from .common import map_batches, qualified, sized, written
 
 SEGMENT, CHUNK, FILE = 32_768, 8_192, 8_000_000
 DATE = "2024-01-01T00:00:00Z"
@@ -108,6 +109,7 @@ def members(data: bytes, step: int = 1 << 14) -> Iterator[bytes]:
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write the files; the manifest (a written table): ``file, n_records``."""
+    uri = qualified(pages.sparkSession, folder)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = written(rows.select("*", F.concat_ws(":", F.octet_length("html"), F.sha2(F.encode("html", "utf-8"), 256)).alias("sha"), F.monotonically_increasing_id().alias("rid")), "pages")
     same = rows.groupBy("sha").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "rid")).alias("m"), F.count("*").alias("n"))
@@ -117,7 +119,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     schema = pa.schema([("file", pa.string()), ("n_records", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = (pafs.LocalFileSystem(), folder) if folder.startswith("/") else pafs.FileSystem.from_uri(folder)
+        fs, root = pafs.FileSystem.from_uri(uri)
         held, size = [], 0
 
         def close():
