@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir) and works on all that the stage before ke
 effect: rejected documents, copies and documents with test items go, personal data is masked in the texts,
 and the last stage packs what is left into token sequences. Between stages the rows are written as Parquet
 and read again, so a lost executor repeats part of one stage.
+
+Odd rows: a null text is empty, so the first stage rejects it (fewer than 50 words); repeated rows are rejected or kept
+alike there, and of rows with one id and one shingle set the second stage keeps one; unlike texts under one id, and rows
+without an id, are judged by their own text in every stage; texts of any length are read whole; extra columns come
+through the first four stages, whatever their names; empty tables give empty tables, and without usable labels only
+the base test of the first stage rejects, and an empty ``benchmark`` rejects nothing.
 """
 
 from __future__ import annotations

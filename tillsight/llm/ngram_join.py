@@ -17,7 +17,8 @@ Result per document: ``class_id`` (least id of its class), ``rep_id`` (least id
 
 Edge cases: null text is empty; a text without words has no set, links to nothing and is its own class;
 1 to 4 words are one shingle; rows without ``doc_id`` take no part and get a null class; repeated rows are
-copies, and different texts under one id share one node; extra columns are ignored.
+copies, and different texts under one id share one node; extra columns are ignored. Texts
+of any length are read whole.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ passages than a task may hold meet in an aggregate of Spark instead (``repeats.w
 
 Windows are judged on the input and never cross documents. Edge cases: null texts have no words; texts below
 ``LENGTH`` words lose nothing; repeated rows are different places, whatever their id; extra columns are ignored.
+Texts of any length are read whole: a long document is a chunk of its own.
 """
 
 from __future__ import annotations

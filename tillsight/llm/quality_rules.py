@@ -7,7 +7,7 @@ there, and the rows it covers leave. ``rule_column`` turns the ordered rules int
 
 Edge cases: a null text counts as empty; an empty text has zero statistics and fails the base test; a
 null or repeated ``doc_id`` passes through row by row; extra columns are ignored; without usable labels
-the list is empty and only the base test decides.
+the list is empty and only the base test decides. Texts of any length are read whole.
 """
 
 from __future__ import annotations
