@@ -16,6 +16,8 @@ import re
 import struct
 from functools import lru_cache
 
+from .common import release
+
 # Unicode white space as the tokenizers' patterns know it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 BLANKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
@@ -24,7 +26,7 @@ MARKS = '.,;:!?*$%#&"()[]{}<>/=+-_|~^@'
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 LATIN, ONE_PIECE = re.compile(f"[{LETTERS}]+"), re.compile(f" ?[{LETTERS}]+")
 #: Units in each of the cache's two generations, words without marks that are kept, and the longest unit kept.
-CACHED, CORES, KEPT = 350_000, 1_000_000, 64
+CACHED, CORES, KEPT = 350_000, 600_000, 64
 
 
 def packed(ids: list[int]) -> bytes:
@@ -42,8 +44,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # units are encoded as ordinary text; a text with a special token's string goes to the library whole
         self.tokenizer.encode_special_tokens = True
-        self.plain = Tokenizer.from_file(path)
-        self.special = [] if special_text else [a.content for a in self.plain.get_added_tokens_decoder().values() if a.special]
+        self.special = [] if special_text else [a.content for a in self.tokenizer.get_added_tokens_decoder().values() if a.special]
+        self.path, self.plain = path, None
         self.words = units == "words"
         self.cut = (lambda t: t.encode().split()) if self.words else BLANKS.findall
         # a blank and Latin letters as the byte-level step writes them
@@ -75,6 +77,7 @@ class Encoder:
                 out[u] = ids
         if len(self.cores) > CORES:
             self.cores = {}
+            release()
         known = self.cores
         new, fresh = [], {}
         tokenize = self.tokenizer.model.tokenize
@@ -94,6 +97,7 @@ class Encoder:
             out[u] = (known[core] if a is None else a) + (b or (known[marks] if marks else b""))
         if len(self.young) + len(out) > CACHED:
             self.old, self.young = self.young, {}
+            release()
         self.young.update((u, i) for u, i in out.items() if len(u) <= KEPT)
         return out
 
@@ -101,6 +105,9 @@ class Encoder:
         """Ids of every text; unknown units of all texts are learnt together."""
         whole = {k for k, t in enumerate(texts) if any(x in t for x in self.special)}
         if whole:
+            if self.plain is None:  # few texts need it, and it takes memory
+                from tokenizers import Tokenizer
+                self.plain = Tokenizer.from_file(self.path)
             rest = iter(self.encode_all([t for k, t in enumerate(texts) if k not in whole]))
             return [packed(self.plain.encode(t, add_special_tokens=False).ids) if k in whole else next(rest) for k, t in enumerate(texts)]
         cut = [self.cut(t) for t in texts]
