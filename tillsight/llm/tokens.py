@@ -24,14 +24,18 @@ BLANKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 # Punctuation that both patterns separate from a letter before it (no apostrophe: contractions).
 MARKS = '.,;:!?*$%#&"()[]{}<>/=+-_|~^@'
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-LATIN, ONE_PIECE = re.compile(f"[{LETTERS}]+"), re.compile(f" ?[{LETTERS}]+")
+LATIN, ONE_PIECE, LATIN_END = re.compile(f"[{LETTERS}]+"), re.compile(f" ?[{LETTERS}]+"), re.compile(f"[{LETTERS}]")
 #: Units in each of the cache's two generations, words without marks that are kept, and the longest unit kept.
 CACHED, CORES, KEPT = 350_000, 600_000, 64
 
 
+#: Packers of up to 64 ids, by their number.
+PACK = [struct.Struct(f"<{n}I").pack for n in range(65)]
+
+
 def packed(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit ids; much cheaper than an array object for the few ids of a word."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return PACK[len(ids)](*ids) if len(ids) < len(PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
@@ -56,49 +60,58 @@ class Encoder:
         self.old: dict = {}
         self.cores: dict = {}
 
-    def _parts(self, unit) -> tuple[str, str]:
-        """A unit as a core and the marks after it, apart only where the pattern always separates them (after a Latin
-        letter, up to the unit's end); Latin cores in lower case where the tokenizer itself lowers them."""
-        text = unit.decode() if self.words else unit
-        core = text.rstrip(MARKS)
-        if len(core) == len(text) or not LATIN.match(core[-1:]):
-            core = text
-        marks = text[len(core):]
-        return (core.lower() if self.words and LATIN.fullmatch(core) else core), marks
-
     def _learn(self, units: set) -> dict:
-        """Ids (little-endian unsigned 32-bit) of units that the young generation lacks."""
-        out, apart = {}, {}
-        for u in units:
-            ids = self.old.get(u)
-            if ids is None:
-                apart[u] = self._parts(u)
-            else:
-                out[u] = ids
+        """Ids (little-endian unsigned 32-bit) of units that the young generation lacks.
+
+        A new unit is a core and the marks after it, apart only where the pattern always separates them (after a Latin
+        letter, up to the unit's end); Latin cores are in lower case where the tokenizer itself lowers them."""
+        out, apart, old, words, last = {}, [], self.old, self.words, LATIN_END.match
         if len(self.cores) > CORES:
             self.cores = {}
             release()
-        known = self.cores
-        new, fresh = [], {}
-        tokenize = self.tokenizer.model.tokenize
-        for x in {x for p in apart.values() for x in p if x and x not in known}:
+        known, new = self.cores, set()
+        for u in units:
+            ids = old.get(u)
+            if ids is not None:
+                out[u] = ids
+                continue
+            text = u.decode() if words else u
+            core, marks = text.rstrip(MARKS), ""
+            if len(core) == len(text) or not last(core[-1:]):
+                core = text
+            else:
+                marks = text[len(core):]
+                if marks not in known:
+                    new.add(marks)
+            if words and LATIN.fullmatch(core):
+                core = core.lower()
+            apart.append((u, core, marks))
+            if core not in known:
+                new.add(core)
+        fresh, rest, tokenize, letters = {}, [], self.tokenizer.model.tokenize, self.letters
+        simple = LATIN.fullmatch if words else ONE_PIECE.fullmatch
+        for x in new:
             # Latin letters (words: lower case) are one piece that normalizers leave as it is: the model alone does
-            if (self.words and LATIN.fullmatch(x) and x.islower()) or (not self.words and ONE_PIECE.fullmatch(x)):
-                fresh[x] = packed([t.id for t in tokenize(x.translate(self.letters))])
+            if simple(x) and (not words or x.islower()):
+                fresh[x] = packed([t.id for t in tokenize(x.translate(letters))])
             else:
-                new.append(x)
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
+                rest.append(x)
+        for lo in range(0, len(rest), 4096):
+            part = rest[lo:lo + 4096]
             for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 fresh[x] = packed(e.ids)
-        known.update((x, i) for x, i in fresh.items() if len(x) <= KEPT)
-        for u, (core, marks) in apart.items():
-            a, b = fresh.get(core), fresh.get(marks, b"")
-            out[u] = (known[core] if a is None else a) + (b or (known[marks] if marks else b""))
+        long = [x for x in fresh if len(x) > KEPT]
+        known.update(fresh)
+        for u, core, marks in apart:
+            out[u] = known[core] + known[marks] if marks else known[core]
+        for x in long:
+            del known[x]
         if len(self.young) + len(out) > CACHED:
             self.old, self.young = self.young, {}
             release()
-        self.young.update((u, i) for u, i in out.items() if len(u) <= KEPT)
+        self.young.update(out)
+        for u in [u for u in out if len(u) > KEPT]:
+            del self.young[u]
         return out
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
