@@ -12,6 +12,7 @@ from tillsight.operators import dashboard as DB
 from tillsight.operators import evaluation as EV
 from tillsight.operators import features as FE
 from tillsight.operators import registry as RG
+from tillsight.operators import scores as SC
 from tillsight.operators import warehouse as WH
 from tillsight.plans import fixtures as FX
 from tillsight.plans import params as P
@@ -64,6 +65,17 @@ def q_load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         CK.Checks("fact_sales", ("date_key", "customer_key", "product_key"), money, wrong).report(fact))
 
 
+def q_score_date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness of date and score keys: a score file with every customer twice, the stored scores, the date dimension."""
+    st = FX.staged_table(spark, sf_dir)
+    dates, dc = WH.dim_date_for(st), FX.dim_customer(spark, sf_dir, st)
+    file = FX.score_file(spark, sf_dir, P.TEST_SNAPSHOT)
+    source = SC.resolve_customers(SC.stage_scores(file.unionByName(file.withColumn("churn_prob", F.col("churn_prob") / 2)), P.TEST_SNAPSHOT), dc)
+    stored = SC.merge_scores(SC.merge_scores(None, source), source)
+    return (WH.duplicate_keys(dates, ["date_key"], "dim_date.date_key").unionByName(WH.duplicate_keys(dates, ["full_date"], "dim_date.full_date"))
+            .unionByName(WH.duplicate_keys(source, SC.SCORE_KEYS, "score_file.key")).unionByName(WH.duplicate_keys(stored, SC.SCORE_KEYS, "churn_score.key")))
+
+
 def q_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of the champion among the stand-in models, selected at every month end."""
     labeled = materialize(FE.with_churn_label(FE.customer_features(FX.sales(spark, sf_dir), P.ALL_MONTH_ENDS, P.LOOKBACK), FX.sales(spark, sf_dir), P.ALL_MONTH_ENDS), "labeled")

@@ -760,6 +760,14 @@ def q_load_checks() -> str:
     return _with(SALES, CLEANED) + f"{both} {nulls} {zero}"
 
 
+def q_score_date_keys() -> str:
+    return _with(SALES, CLEANED, features_ctes([P.TEST_SNAPSHOT]), """days as (select unnest(generate_series(min(sale_date)::timestamp, max(sale_date)::timestamp, interval 1 day)) as d from staged),
+n as (select count(*) as n from features)""") + """select 'dim_date.date_key' as check_name, count(*) as row_count, count(*) as distinct_keys, 0 as duplicate_keys from days
+union all select 'dim_date.full_date', count(*), count(*), 0 from days
+union all select 'score_file.key', 2 * n, n, n from n
+union all select 'churn_score.key', n, n, 0 from n"""
+
+
 def q_model_versions() -> str:
     from tillsight.plans.fixtures import PSEUDO_MODELS
     scored = " union all ".join(f"select snapshot_date, churn_label, '{m}' as model_name, {pseudo(a, b)} as p from labeled" for m, (a, b) in PSEUDO_MODELS.items())
