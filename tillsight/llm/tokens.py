@@ -25,8 +25,9 @@ BLANKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 MARKS = '.,;:!?*$%#&"()[]{}<>/=+-_|~^@'
 LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 LATIN, ONE_PIECE, LATIN_END = re.compile(f"[{LETTERS}]+"), re.compile(f" ?[{LETTERS}]+"), re.compile(f"[{LETTERS}]")
-#: Units in each of the cache's two generations, words without marks that are kept, and the longest unit kept.
-CACHED, CORES, KEPT = 350_000, 600_000, 64
+#: Units in each of the cache's two generations; cores that are kept, by whether units are ``words`` (fewer for ``blanks``:
+#: packing holds the ids of more texts in memory); and the longest unit kept.
+CACHED, CORES, KEPT = 350_000, {True: 1_000_000, False: 600_000}, 64
 
 
 #: Packers of up to 64 ids, by their number.
@@ -66,7 +67,7 @@ class Encoder:
         A new unit is a core and the marks after it, apart only where the pattern always separates them (after a Latin
         letter, up to the unit's end); Latin cores are in lower case where the tokenizer itself lowers them."""
         out, apart, old, words, last = {}, [], self.old, self.words, LATIN_END.match
-        if len(self.cores) > CORES:
+        if len(self.cores) > CORES[words]:
             self.cores = {}
             release()
         known, new = self.cores, set()
