@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, release, small, written
 from .shingling import mix, window_hashes, word_hashes
 
-CHUNK, SEGMENT, BUCKET = 2_000_000, 1 << 16, 24_000_000
+CHUNK, SEGMENT, BUCKET = 2_000_000, 1 << 16, 6_000_000
 #: Slices of one anchor (equal ones of a chunk once) that one task may hold; beyond them Spark aggregates its windows.
 MANY = 10_000
 #: Documents without an id come after all others.
