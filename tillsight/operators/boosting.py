@@ -1,7 +1,8 @@
 """Second-order gradient-boosted trees with L1 and L2 leaf penalties, one histogram aggregate a tree level.
 
 Features are cut into at most ``bins`` quantile bins; a level sums gradients and hessians by (node, feature, bin) in one
-``groupBy``, with partial sums in each task. Only those sums, nodes x features x bins rows, reach the driver, which picks
+``groupBy``, with partial sums in each task (numpy on Arrow batches, so a row is neither copied for each feature nor is new
+code generated for each tree). Only those sums, nodes x features x bins rows, reach the driver, which picks
 the best cut of every node. Gradients are summed as fixed-point integers, so a model does not depend on partitioning,
 task order or retries. Rows are drawn for each tree by a checksum of their key, columns by one of their name.
 
@@ -11,9 +12,11 @@ Null, infinite and NaN features count as 0; rows without a label or key are not
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,6 +142,52 @@ def quantile_cuts(df: DataFrame, n: int, bins: int) -> list[list[float]]:
     return [sorted(set(row[k] or [])) for k in range(n)]
 
 
+def reached(b: np.ndarray, nodes: dict[int, Node]) -> np.ndarray:
+    """The node that every row of bins has reached."""
+    at = np.ones(len(b), np.int64)
+    for k in sorted(nodes):  # parents first
+        if nodes[k].feature >= 0:
+            here = at == k
+            at[here] = np.where(b[here, nodes[k].feature] <= nodes[k].bin, 2 * k, 2 * k + 1)
+    return at
+
+
+def partial_hists(trees: Sequence[dict[int, Node]], nodes: dict[int, Node], live: Sequence[int], use: Sequence[int], bins: int) -> Callable:
+    """A task's gradient and hessian sums by (node, feature, bin) of rows ``y, m, b``, whose margin still lacks ``trees``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, len(live), len(use), bins), np.int64)
+        seen = np.zeros((len(live), len(use), bins), bool)
+        slot = np.full(max(live) + 2, -1)
+        slot[list(live)] = np.arange(len(live))
+        for batch in batches:
+            y, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "m"))
+            if not len(y):
+                continue
+            b = batch.column("b").flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+            for tree in trees:
+                leaves = np.zeros(max(tree) + 1)
+                for k, n in tree.items():
+                    leaves[k] = n.value
+                m = m + leaves[reached(b, tree)]
+            prob = 1.0 / (1.0 + np.exp(-np.clip(m, -700.0, 700.0)))
+            at = reached(b, nodes)
+            at = np.where(at < len(slot), slot[np.minimum(at, len(slot) - 1)], -1)
+            asked = at >= 0
+            # a batch's sums of 26-bit numbers are exact as doubles
+            g = np.floor((prob - y) * UNIT + 0.5)[asked]
+            h = np.floor(prob * (1.0 - prob) * UNIT + 0.5)[asked]
+            at, b = at[asked], b[asked]
+            for j, f in enumerate(use):
+                cell = at * bins + b[:, f]
+                for i, v in enumerate((g, h)):
+                    sums[i, :, j] += np.bincount(cell, v, len(live) * bins).astype(np.int64).reshape(len(live), bins)
+                seen[:, j] |= np.bincount(cell, minlength=len(live) * bins).reshape(len(live), bins) > 0
+        node, j, v = np.nonzero(seen)
+        yield pa.record_batch([pa.array(np.array(live, np.int32)[node]), pa.array(np.array(use, np.int32)[j]), pa.array(v.astype(np.int32)),
+                               pa.array(sums[0][seen]), pa.array(sums[1][seen])], names=["node", "f", "v", "g", "h"])
+    return run
+
+
 def fit(df: DataFrame, features: Sequence[Column], names: Sequence[str], label: Column, key: Column, params: Params = Params()) -> Trees:
     """Train on 0/1 labels; ``key`` is a text that names a row."""
     p, n = params, len(names)
@@ -148,20 +197,18 @@ def fit(df: DataFrame, features: Sequence[Column], names: Sequence[str], label:
     found = F.array(*[sum([(F.col("x")[k] > c).cast("int") for c in cuts[k]], F.lit(0)) for k in range(n)])
     rows = materialize(rows.select("k", "y", found.alias("b"), F.lit(0.0).alias("m")), "boost_bins")
     model, fresh = Trees(list(names), p), []
+    most = max((len(c) for c in cuts), default=0) + 1
     for t in range(1, p.rounds + 1):
         use = drawn_columns(names, t, p)
-        prob = probability(F.col("m"))
-        fixed = rows.where(drawn_row(F.col("k"), t, p)).select(
-            "b", F.floor((prob - F.col("y")) * UNIT + 0.5).alias("g"), F.floor(prob * (1.0 - prob) * UNIT + 0.5).alias("h"))
+        drawn = rows.where(drawn_row(F.col("k"), t, p)).select("y", "m", "b")
         nodes: dict[int, Node] = {}
-        at, live = F.lit(1), [1]
+        live = [1]
         for level in range(p.depth):
-            slots = F.array(*[F.struct(F.lit(f).alias("f"), F.col("b")[f].alias("v")) for f in use])
-            sums = (fixed.select(at.alias("node"), "g", "h", F.explode(slots).alias("s")).where(F.col("node").isin(live))
-                    .groupBy("node", "s").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect())
+            parts = drawn.mapInArrow(partial_hists(fresh, nodes, live, use, most), "node int, f int, v int, g long, h long")
+            sums = parts.groupBy("node", "f", "v").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
             hists: dict[int, dict] = {k: {} for k in live}
             for r in sums:
-                hists[r["node"]].setdefault(r["s"]["f"], {})[r["s"]["v"]] = (r["g"], r["h"])
+                hists[r["node"]].setdefault(r["f"], {})[r["v"]] = (r["g"], r["h"])
             nxt = []
             for k in live:
                 some = next(iter(hists[k].values()), {})
@@ -174,23 +221,18 @@ def fit(df: DataFrame, features: Sequence[Column], names: Sequence[str], label:
                 for child, (g, h) in ((2 * k, s[3]), (2 * k + 1, s[4])):
                     nodes[child] = Node(t, child, h / UNIT, value=leaf(g / UNIT, h / UNIT, p))
                     nxt.append(child)
-            at, live = place(F.col("b"), nodes), nxt
+            live = nxt
             if not live:
                 break
         model.nodes += [nodes[k] for k in sorted(nodes)]
-        rows = rows.withColumn("m", F.col("m") + value(F.col("b"), nodes))
+        fresh.append(nodes)
         if t % p.stride == 0 and t < p.rounds:
-            rows = materialize(rows, "boost_margin")
+            for tree in fresh:
+                rows = rows.withColumn("m", F.col("m") + value(F.col("b"), tree))
+            rows, fresh = materialize(rows, "boost_margin"), []
     return model
 
 
-def place(b: Column, nodes: dict[int, Node], k: int = 1) -> Column:
-    """The node that a row of bins has reached."""
-    if k not in nodes or nodes[k].feature < 0:
-        return F.lit(k)
-    return F.when(b[nodes[k].feature] <= nodes[k].bin, place(b, nodes, 2 * k)).otherwise(place(b, nodes, 2 * k + 1))
-
-
 def value(b: Column, nodes: dict[int, Node], k: int = 1) -> Column:
     if nodes[k].feature < 0:
         return F.lit(nodes[k].value)
