@@ -29,7 +29,7 @@ def _stop(at: str):
 def warehouse_with_failures(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, list[tuple]]:
     """Loads that succeed, stop between dimension and fact, are run again, and have no rows; after each, the published fact."""
     warehouse = Warehouse(spark, f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex}")
-    raw = sales_from_tables(spark, sf_dir, P.BATCH_CUT)
+    raw = materialize(sales_from_tables(spark, sf_dir, P.BATCH_CUT), "sales")  # the source files of all loads: joined once
     a, b = (raw.where(F.col("load_batch_id") == k) for k in ("batch_a", "batch_b"))
     seen = []
     for batch, rows, at in (("batch_a", a, ""), ("batch_b", b, "fact_sales"), ("batch_b", b, ""), ("empty:1/2", raw.limit(0), "")):
@@ -57,10 +57,10 @@ def q_batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of every month end from day states, after a late batch with a tenth of the lines of all days."""
-    sales = FX.sales(spark, sf_dir)
+    sales = FX.sales_lines(spark, sf_dir)
     late = F.pmod(F.crc32(F.col("source_row_id").cast("string").cast("binary")), F.lit(10)) == 0
     states = materialize(DS.day_states(sales.where(~late)), "day_states")
-    return DS.features_from_states(materialize(DS.refreshed(states, sales.where(late), sales), "day_states"), P.ALL_MONTH_ENDS, P.LOOKBACK)
+    return DS.features_from_states(DS.refreshed(states, sales.where(late), sales), P.ALL_MONTH_ENDS, P.LOOKBACK)
 
 
 def registry() -> dict:
