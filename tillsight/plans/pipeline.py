@@ -63,7 +63,8 @@ def replace(df: DataFrame, base: str, name: str, partition_by: Sequence[str] = (
             sort_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as the new content of table ``name`` (only its partitions, if partitioned)."""
     staged = materialize(df, name)
-    w = (staged.sortWithinPartitions(*sort_by) if sort_by else staged).write.mode("overwrite")
+    # one sort: the writer asks for rows in order of the partition columns
+    w = (staged.sortWithinPartitions(*partition_by, *sort_by) if sort_by else staged).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.option("partitionOverwriteMode", "dynamic").parquet(_path(base, name))

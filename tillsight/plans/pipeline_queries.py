@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillsight.plans import fixtures as FX
 from tillsight.plans import params as P
 from tillsight.plans import pipeline as PL
-from tillsight.session import checkpoint_dir
+from tillsight.session import checkpoint_dir, materialize
 from tillsight.sources.sales import sales_from_tables
 
 # The month that the last batch moves away, and by how many days.
@@ -27,7 +27,7 @@ def _day(x: str):
 
 def _warehouse(spark: SparkSession, sf_dir: str) -> str:
     base = f"{checkpoint_dir(spark).rstrip('/')}/warehouse-{uuid.uuid4().hex}"
-    raw = sales_from_tables(spark, sf_dir, P.BATCH_CUT)
+    raw = materialize(sales_from_tables(spark, sf_dir, P.BATCH_CUT), "sales")  # the source files of all batches: joined once
     first = raw.filter(F.col("load_batch_id") == "batch_a")
     again = (first.filter(F.col("sale_date") >= F.lit(P.RELOAD_FROM))
              .withColumn("revenue", (F.col("revenue") + 1).cast("decimal(18,4)")))
@@ -56,7 +56,7 @@ def q_pipeline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored scores after a file with every customer twice and an unknown one, then a second file for half of them."""
     base = _warehouse(spark, sf_dir)
     PL.build_snapshots(spark, base, [P.TEST_SNAPSHOT], P.LOOKBACK)
-    scores = FX.score_file(spark, sf_dir, P.TEST_SNAPSHOT)
+    scores = materialize(FX.score_file(spark, sf_dir, P.TEST_SNAPSHOT), "score_file")  # a file that three loads read
     half = scores.withColumn("churn_prob", F.col("churn_prob") / 2)
     unknown = spark.createDataFrame([("nobody", 0.5)], "customer_name string, churn_prob double")
     PL.load_scores(spark, base, half.unionByName(scores).unionByName(unknown), P.TEST_SNAPSHOT, batch_id="s9", vip_segment=P.TEST_VIP_SEGMENT)
