@@ -67,10 +67,12 @@ def q_load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_score_date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uniqueness of date and score keys: a score file with every customer twice, the stored scores, the date dimension."""
-    st = FX.staged_table(spark, sf_dir)
+    # dates and customers need four columns of staging; the file and the resolved scores are read several times
+    st = materialize(FX.staged(spark, sf_dir).select("customer_name", "segment_name", "sale_date", "load_batch_id"), "staging")
     dates, dc = WH.dim_date_for(st), FX.dim_customer(spark, sf_dir, st)
-    file = FX.score_file(spark, sf_dir, P.TEST_SNAPSHOT)
-    source = SC.resolve_customers(SC.stage_scores(file.unionByName(file.withColumn("churn_prob", F.col("churn_prob") / 2)), P.TEST_SNAPSHOT), dc)
+    file = materialize(FX.score_file(spark, sf_dir, P.TEST_SNAPSHOT), "score_file")
+    source = materialize(SC.resolve_customers(SC.stage_scores(file.unionByName(file.withColumn("churn_prob", F.col("churn_prob") / 2)), P.TEST_SNAPSHOT), dc),
+                         "score_source")
     stored = SC.merge_scores(SC.merge_scores(None, source), source)
     return (WH.duplicate_keys(dates, ["date_key"], "dim_date.date_key").unionByName(WH.duplicate_keys(dates, ["full_date"], "dim_date.full_date"))
             .unionByName(WH.duplicate_keys(source, SC.SCORE_KEYS, "score_file.key")).unionByName(WH.duplicate_keys(stored, SC.SCORE_KEYS, "churn_score.key")))
@@ -78,7 +80,8 @@ def q_score_date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of the champion among the stand-in models, selected at every month end."""
-    labeled = materialize(FE.with_churn_label(FE.customer_features(FX.sales(spark, sf_dir), P.ALL_MONTH_ENDS, P.LOOKBACK), FX.sales(spark, sf_dir), P.ALL_MONTH_ENDS), "labeled")
+    sales = FX.sales_lines(spark, sf_dir)
+    labeled = materialize(FE.with_churn_label(FE.customer_features(sales, P.ALL_MONTH_ENDS, P.LOOKBACK), sales, P.ALL_MONTH_ENDS), "labeled")
     models = F.explode(F.array(*[F.struct(F.lit(m).alias("model_name"), F.expr(P.pseudo_prob_sql().replace("* 37", f"* {a}").replace("* 11", f"* {b}")).alias("churn_prob"))
                                  for m, (a, b) in FX.PSEUDO_MODELS.items()])).alias("m")
     scored = labeled.select("snapshot_date", "churn_label", models).select("snapshot_date", "churn_label", "m.*")
