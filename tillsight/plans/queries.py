@@ -73,7 +73,7 @@ def q_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = FX.upserted_fact(spark, sf_dir)
+    f = FX.upserted_fact(spark, sf_dir, FX.load_table(spark, sf_dir, ["revenue"]))
     return f.select("source_row_id", "load_batch_id", F.col("revenue").cast("double").alias("revenue"))
 
 
@@ -201,11 +201,13 @@ def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RP.reconciliation(FX.staged_with_reload(spark, sf_dir), FX.upserted_fact(spark, sf_dir))
+    st = FX.load_table(spark, sf_dir, ["revenue", "profit"])
+    return RP.reconciliation(FX.staged_with_reload(spark, sf_dir, st), FX.upserted_fact(spark, sf_dir, st))
 
 
 def q_reconciliation_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RP.reconciliation_by_batch(FX.staged_with_reload(spark, sf_dir), FX.upserted_fact(spark, sf_dir))
+    st = FX.load_table(spark, sf_dir, ["revenue"])
+    return RP.reconciliation_by_batch(FX.staged_with_reload(spark, sf_dir, st), FX.upserted_fact(spark, sf_dir, st))
 
 
 def q_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
