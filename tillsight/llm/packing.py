@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import map_batches, sized, written
-from .tokens import encoder
+from .tokens import encoder, portions
 
 LENGTH, GRAIN = 2048, 8
 #: A pattern used up to FEW times must be FULL; otherwise its pieces are laid end to end with the other leftovers.
@@ -161,9 +161,9 @@ def tokenized(docs: DataFrame, path: str, units: str, end_id: int, length: int =
         e, part, end = encoder(path, units), TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
         rank, full = [0] * (length // grain + 2), 0
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                batch, rows = whole.slice(lo, 256), []
-                for ids in e.encode_all([t or "" for t in batch.column("text").to_pylist()]):
+            for batch in portions(whole):
+                rows = []
+                for ids in e.encode_all(batch.column("text")):
                     ids += end
                     n = len(ids) // 4
                     c = -(-(n % length) // grain)
