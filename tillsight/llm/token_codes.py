@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import map_batches, qualified, sized, written
-from .tokens import encoder
+from .tokens import encoder, portions
 
 MAGIC, BLOCK, SHARD = b"DACTOK01", 512, 1_000_000
 
@@ -136,9 +136,8 @@ def write_shards(docs: DataFrame, folder: str, path: str, units: str = "words",
                 f.write(data)
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((part, seq, name, len(docs_in), size), schema)], schema=schema)
 
-        slices = (whole.slice(lo, 256) for whole in batches for lo in range(0, whole.num_rows, 256))
-        for batch in slices:
-            for d, got in zip(batch.column("doc_id").to_pylist(), e.encode_all([t or "" for t in batch.column("text").to_pylist()])):
+        for batch in (part for whole in batches for part in portions(whole)):
+            for d, got in zip(batch.column("doc_id").to_pylist(), e.encode_all(batch.column("text"))):
                 got += end
                 ids.append(got)
                 docs_in.append(d)
