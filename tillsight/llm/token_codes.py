@@ -31,10 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_batches, qualified, sized, written
+from .common import map_batches, qualified, written
 from .tokens import encoder, portions
 
 MAGIC, BLOCK, SHARD = b"DACTOK01", 512, 1_000_000
+#: Files that a task reads.
+READ = 4
 
 
 def encode_shard(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
@@ -155,24 +157,26 @@ def write_shards(docs: DataFrame, folder: str, path: str, units: str = "words",
 
 
 def read_shards(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from the files."""
+    """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from the files. Tasks open the files
+    themselves, one after the other, so that no file passes through the JVM (as a row it would be copied there
+    several times, in arrays of megabytes)."""
     so_far = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))  # one row a task
     parts = parts.select("part", so_far(Window.orderBy("part")).alias("_base"))
     places = manifest.select("part", "file", so_far(Window.partitionBy("part").orderBy("seq")).alias("_in")).join(parts, "part")
     places = written(places.select(F.col("file"), (F.col("_base") + F.col("_in")).alias("start")), "places")
+    uri = qualified(spark, folder)
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(uri)
         for batch in batches:
-            for start, data in zip(batch.column("start").to_pylist(), batch.column("content")):
-                s = Shard(data.as_py())
+            for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist()):
+                with fs.open_input_stream(f"{root}/{name}") as f:
+                    s = Shard(f.read())
                 crc = [zlib.crc32(s.document(k).astype("<u4").tobytes()) for k in range(len(s.doc_ids))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.doc_ids, pa.int64()), pa.array(s.starts[:-1] + start), pa.array(np.diff(s.starts)), pa.array(crc, pa.int64())],
                     schema=schema)
 
-    if manifest.isEmpty():
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    files = spark.read.format("binaryFile").load(folder).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "content")
-    return map_batches(files.join(sized(places), "file").select("start", "content"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_batches(places.repartition(-(-places.count() // READ) or 1), run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -37,7 +37,7 @@ MARKS = '.,;:!?*$%#&"()[]{}<>/=+-_|~^@'
 LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 #: Units in each of the cache's two generations, the longest unit kept (bytes), bytes of text cut at a time, and units
 #: that the model reads at a time.
-CACHED, KEPT, PORTION, LEARNT = 500_000, 64, 2_000_000, 20_000
+CACHED, KEPT, PORTION, LEARNT = 200_000, 64, 2_000_000, 4_000
 
 #: Packers of up to 64 ids, by their number.
 PACK = [struct.Struct(f"<{n}I").pack for n in range(65)]
