@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tillsight import constants as K
 from tillsight.functions.columns import date_key, is_weekend, year_month
 from tillsight.operators.ordering import number_rows
+from tillsight.session import materialize
 
 
 class EtlError(RuntimeError):
@@ -196,6 +197,34 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
+# Bits that mark repeated keys (16 MB, in rows of 2^15 bits), and from how many keys on all rows are grouped.
+MARK_BITS, MARK_ROW_BITS, MAX_MARKED = 27, 15, 8_000_000
+
+
+def newest_of_stored(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``newest_per_key`` of a written table whose keys mostly come once: only rows of repeated keys are shuffled whole.
+
+    Hashes of the keys are counted first (8 bytes a row). Hashes that come more than once are marked in a bitmap of fixed
+    size, which is broadcast; rows on a mark, among them a few whose key comes once, are grouped as ever.
+    """
+    h = F.xxhash64(*[F.col(k) for k in keys])
+    at = F.pmod(h, F.lit(1 << MARK_BITS))
+    again = materialize(df.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+                        .select(F.pmod("_h", F.lit(1 << MARK_BITS)).alias("_p")), "repeated")
+    marked = again.count()
+    if not marked:
+        return df.select(*keys, *[c for c in df.columns if c not in keys])
+    if marked > MAX_MARKED:
+        return newest_per_key(df, keys, order)
+    row, bit = (lambda p: F.call_function("shiftright", p, F.lit(MARK_ROW_BITS))), (lambda p: F.pmod(p, F.lit(1 << MARK_ROW_BITS)).cast("int"))
+    marks = again.groupBy(row(F.col("_p")).alias("_row")).agg(F.bitmap_construct_agg(bit(F.col("_p")).cast("long")).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.call_function("shiftright", bit(at), F.lit(3)) + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, bit(at) % 8).bitwiseAND(F.lit(1)) == 1
+    seen = df.join(F.broadcast(marks), row(at) == F.col("_row"), "left").withColumn("_hit", F.coalesce(hit, F.lit(False)))  # 2^12 rows at most
+    once = seen.where(~F.col("_hit")).select(*keys, *[c for c in df.columns if c not in keys])
+    return once.unionByName(newest_per_key(seen.where("_hit").select(*df.columns), keys, order))
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            order: Sequence[str] | None = None,
            rules: Mapping[str, Column] | None = None) -> DataFrame:

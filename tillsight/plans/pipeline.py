@@ -10,22 +10,24 @@
     base/score_rejects      scores naming unknown customers
     base/reports/<name>     report tables; selection summary as JSON
 
-Every rewrite goes through ``replace``: the new content is first written
-to the shared checkpoint folder, then copied over the target, so a job
-never overwrites a path it is reading and a lost executor only repeats
-tasks. Partitioned tables replace only the partitions present in the new
-content (dynamic partition overwrite): an upsert of one batch rewrites
-the months that batch touches, not the whole fact.
+Every rewrite goes through ``replace``: the new content is written once,
+to a folder beside the tables, which then takes the target's place by
+rename, so a job never overwrites a path it is reading and a lost executor
+only repeats tasks. Partitioned tables replace only the partitions present
+in the new content: an upsert of one batch rewrites the months that batch
+touches, not the whole fact.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillsight import constants as K
 from tillsight.operators import cleaning as CL
@@ -35,7 +37,7 @@ from tillsight.operators import warehouse as WH
 from tillsight.operators.rules import Thresholds, apply_rules
 from tillsight.operators.scores import (SCORE_KEYS, resolve_customers, stage_scores,
                                         unknown_customers)
-from tillsight.session import materialize
+from tillsight.session import CODEC, materialize, shuffles_dropped
 from tillsight.sources.sales import SALES_SCHEMA, require_columns, with_lineage
 
 
@@ -61,14 +63,49 @@ def read(spark: SparkSession, base: str, name: str) -> DataFrame | None:
 
 def replace(df: DataFrame, base: str, name: str, partition_by: Sequence[str] = (),
             sort_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` as the new content of table ``name`` (only its partitions, if partitioned)."""
-    staged = materialize(df, name)
+    """Write ``df`` as the new content of table ``name`` (only its partitions, if partitioned); returns that content."""
+    spark, aside, target = df.sparkSession, _path(base, f"_new/{name}-{uuid.uuid4().hex}"), _path(base, name)
     # one sort: the writer asks for rows in order of the partition columns
-    w = (staged.sortWithinPartitions(*partition_by, *sort_by) if sort_by else staged).write.mode("overwrite")
+    w = (df.sortWithinPartitions(*partition_by, *sort_by) if sort_by else df).write.option("compression", CODEC)
+    with shuffles_dropped(spark):
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(aside)
+    folders = _partitions(spark, aside, len(partition_by))
+    for f in folders:
+        _move(spark, f"{aside}{f}", f"{target}{f}")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.option("partitionOverwriteMode", "dynamic").parquet(_path(base, name))
-    return staged
+        _delete(spark, aside)
+    if not folders:
+        return spark.createDataFrame([], df.schema)
+    parts = [c for c in df.schema.fields if c.name in partition_by]
+    schema = T.StructType([c for c in df.schema.fields if c not in parts] + parts)
+    return spark.read.schema(schema).option("basePath", target).parquet(*[f"{target}{f}" for f in folders]).select(*df.columns)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _partitions(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """The partition folders of a written table, from ``path`` on; without levels the table itself."""
+    found = [""]
+    for _ in range(levels):
+        found = [f"{f}/{s.getPath().getName()}" for f in found for fs, p in [_fs(spark, f"{path}{f}")] for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName()]
+    return sorted(found)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one."""
+    (fs, a), (_, b) = _fs(spark, source), _fs(spark, target)
+    fs.delete(b, True)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def partition_folder(spark: SparkSession, **values) -> str:
@@ -79,8 +116,7 @@ def partition_folder(spark: SparkSession, **values) -> str:
 
 def drop_partition(spark: SparkSession, base: str, name: str, **values) -> None:
     """Delete one partition folder: dynamic overwrite leaves a partition that the new content no longer has."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_path(base, name)}/{partition_folder(spark, **values)}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{_path(base, name)}/{partition_folder(spark, **values)}")
 
 
 # ------------------------------------------------------------------- staging
@@ -107,13 +143,21 @@ def write_staged(clean: DataFrame, base: str, batch_id: str, source_file: str |
         # sorted within each file by date, then customer: Parquet min/max statistics let
         # date-window scans skip row groups (no shuffle: a per-task sort)
         (part.sortWithinPartitions("sale_date", "customer_name")
-         .write.mode("append").partitionBy("load_batch_id").parquet(_path(base, name)))
+         .write.mode("append").option("compression", CODEC).partitionBy("load_batch_id").parquet(_path(base, name)))
 
 
 # ----------------------------------------------------------------------- ETL
 
 # The newest of several staged rows with one source id: by load time, then a total tie-break.
 NEWEST = ("loaded_at", "load_batch_id", "row_hash")
+
+
+def newest_staged(staging: DataFrame) -> DataFrame:
+    """The newest row of every source id, with the columns that the fact is made of."""
+    used = [c for c in staging.columns if c in {"source_row_id", "customer_name", "product_code", "sale_date", "segment_name", *WH.FACT_MEASURES, *NEWEST}]
+    return WH.newest_of_stored(staging.select(*used), ["source_row_id"], NEWEST)
+
+
 # Fact files are sorted by customer and date inside each month partition.
 FACT_SORT = ("customer_key", "date_key")
 
@@ -132,7 +176,7 @@ def run_etl(spark: SparkSession, base: str, batch_id: str | None = None,
     dp = WH.merge_dim_product(read(spark, base, "dim_product"), WH.product_candidates(staging, batch_id))
     dp = replace(dp, base, "dim_product")
 
-    rows = WH.newest_per_key(WH.only_batch(staging, batch_id), ["source_row_id"], NEWEST)
+    rows = newest_staged(WH.only_batch(staging, batch_id))
     new = (WH.fact_rows(rows, dc, dp)
            .withColumn("sale_month", (F.col("date_key") / 100).cast("int")))
     old = read(spark, base, "fact_sales")
