@@ -28,7 +28,8 @@ from tillsight.operators import cleaning as CL
 from tillsight.operators import daystates as DS
 from tillsight.operators import warehouse as WH
 from tillsight.operators.checks import Checks
-from tillsight.plans.pipeline import FACT_SORT, NEWEST, staged_parts
+from tillsight.plans.pipeline import FACT_SORT, newest_staged, staged_parts
+from tillsight.session import CODEC, materialize, shuffles_dropped
 from tillsight.sources.sales import SALES_SCHEMA, require_columns
 
 #: Columns that may hold no null; a load that finds one fails.
@@ -163,8 +164,9 @@ class Load:
         """Write a table whole, or with ``part`` the partitions that ``df`` and ``replaces`` name; others are carried over."""
         folder = f"data/{self.name}/{name}"
         out = df if part is None else df.withColumn(PART, F.col(part).cast("string"))
-        writer = (out.sortWithinPartitions(*([PART] if part else []), *sort) if sort else out).write
-        (writer.partitionBy(PART) if part else writer).parquet(f"{self.warehouse.home}/{folder}")
+        writer = (out.sortWithinPartitions(*([PART] if part else []), *sort) if sort else out).write.option("compression", CODEC)
+        with shuffles_dropped(self.warehouse.spark):
+            (writer.partitionBy(PART) if part else writer).parquet(f"{self.warehouse.home}/{folder}")
         table = {"schema": df.schema.json(), "parts": {"": folder}}
         if part is not None:
             unescape = self.warehouse.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
@@ -217,21 +219,22 @@ def load_batch(warehouse: Warehouse, raw: DataFrame, batch_id: str, source_file:
         dp = load.write(WH.merge_dim_product(load.read("dim_product"), WH.product_candidates(staging, batch_id)), "dim_product")
 
         step("fact_sales")
-        rows = WH.newest_per_key(staging, ["source_row_id"], NEWEST)
-        new = WH.fact_rows(rows, dc, dp).withColumn("sale_month", (F.col("date_key") / 100).cast("int"))
+        new = WH.fact_rows(newest_staged(staging), dc, dp).withColumn("sale_month", (F.col("date_key") / 100).cast("int"))
         key = ["source_system", "source_row_id"]
-        months = {r[0] for r in new.select("sale_month").distinct().collect()}  # bounded by the calendar
         old = load.read("fact_sales")
-        moved, days = None, new.select("date_key").distinct()
+        # several steps read the new rows: they are made once, as the fact itself where there is none yet
+        made = load.write(new, "fact_sales", "sale_month", FACT_SORT) if old is None else materialize(new, "fact_new")
+        # months and day keys, bounded by the calendar
+        at = {tuple(r) for r in made.select("sale_month", "date_key").distinct().collect()}
         if old is not None:
-            moved = old.join(new.select(*key), key, "left_semi").select("sale_month", "date_key").distinct()
-            months |= {r[0] for r in moved.select("sale_month").distinct().collect()}
-            new = WH.upsert(load.read("fact_sales", months).select(*new.columns), new, key)
-            days = days.union(moved.select("date_key")).distinct()
-        Checks("fact_sales", FACT_NOT_NULL).require(load.write(new, "fact_sales", "sale_month", FACT_SORT, months))
+            moved = old.join(made.select(*key), key, "left_semi").select("sale_month", "date_key").distinct()
+            at |= {tuple(r) for r in moved.collect()}
+        months, touched = {m for m, _ in at}, {d for _, d in at}
+        if old is not None:
+            made = load.write(WH.upsert(load.read("fact_sales", months).select(*new.columns), made, key), "fact_sales", "sale_month", FACT_SORT, months)
+        Checks("fact_sales", FACT_NOT_NULL).require(made)
 
         step("customer_days")
-        touched = {r[0] for r in days.collect()}  # day keys, bounded by the calendar
         lines = DS.lines_of(load.read("fact_sales", months).where(F.col("date_key").isin(*touched)), load.read("dim_date"), dc)
         states = DS.day_states(lines).withColumn("sale_month", F.year("sale_date") * 100 + F.month("sale_date"))
         kept = load.read("customer_days", months)
