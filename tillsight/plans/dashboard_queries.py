@@ -80,8 +80,7 @@ def q_score_date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of the champion among the stand-in models, selected at every month end."""
-    sales = FX.sales_lines(spark, sf_dir)
-    labeled = materialize(FE.with_churn_label(FE.customer_features(sales, P.ALL_MONTH_ENDS, P.LOOKBACK), sales, P.ALL_MONTH_ENDS), "labeled")
+    labeled = materialize(FE.labeled_features(FX.sales(spark, sf_dir), P.ALL_MONTH_ENDS, P.LOOKBACK), "labeled")
     models = F.explode(F.array(*[F.struct(F.lit(m).alias("model_name"), F.expr(P.pseudo_prob_sql().replace("* 37", f"* {a}").replace("* 11", f"* {b}")).alias("churn_prob"))
                                  for m, (a, b) in FX.PSEUDO_MODELS.items()])).alias("m")
     scored = labeled.select("snapshot_date", "churn_label", models).select("snapshot_date", "churn_label", "m.*")
