@@ -52,12 +52,8 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging rows computed once per query (they feed every dimension and the fact).
-
-    Kept with ``persist``: a lost executor recomputes its blocks from the
-    source tables. The warehouse pipeline writes staging as a table instead.
-    """
-    return staged(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    """Staging rows computed once per query (they feed every dimension and the fact), written as a table like the pipeline's."""
+    return materialize(staged(spark, sf_dir), "staging")
 
 
 #: Staging columns that keys, dimensions and the order of loads need, whatever the fact measures.
@@ -66,8 +62,8 @@ LOAD_COLUMNS = ("source_row_id", "load_batch_id", "source_file_name", "sale_date
 
 
 def load_table(spark: SparkSession, sf_dir: str, measures: Sequence[str]) -> DataFrame:
-    """``staged_table`` with the given measures only: kept rows hold all their columns, so none is kept that the query does not read."""
-    return staged(spark, sf_dir).select(*LOAD_COLUMNS, *measures).persist(StorageLevel.MEMORY_AND_DISK)
+    """``staged_table`` with the given measures only: no column is written that the query does not read."""
+    return materialize(staged(spark, sf_dir).select(*LOAD_COLUMNS, *measures), "staging")
 
 
 def reload_rows(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
@@ -131,8 +127,10 @@ def upserted_fact(spark: SparkSession, sf_dir: str, st: DataFrame | None = None)
                            & (F.col("sale_date") >= F.lit(P.RELOAD_FROM)))
     src_rows = st.filter(F.col("load_batch_id") == "batch_b").unionByName(reload_rows(spark, sf_dir, st)) \
         .unionByName(june_again)
-    source = WH.fact_rows(src_rows, dc, dp)
-    return WH.upsert(target, source, ["source_system", "source_row_id"], order=["load_batch_id"])
+    # read several times: made once, with the columns of the staged rows only
+    source = materialize(WH.fact_rows(src_rows, dc, dp), "fact_source")
+    newest = WH.newest_of_stored(source, ["source_system", "source_row_id"], ["load_batch_id"])
+    return WH.upsert(target, newest, ["source_system", "source_row_id"])
 
 
 def labeled(spark: SparkSession, sf_dir: str, snapshots) -> DataFrame:

@@ -67,7 +67,7 @@ def q_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = FX.fact(spark, sf_dir)
+    f = FX.fact(spark, sf_dir, FX.load_table(spark, sf_dir, ["revenue", "profit", "promo_pct"]))
     return f.select("source_system", "source_row_id", "load_batch_id", "date_key", "segment_at_sale",
                     *[F.col(c).cast("double").alias(c) for c in ("revenue", "profit", "promo_pct")])
 
